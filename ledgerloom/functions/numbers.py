@@ -28,14 +28,14 @@ def money(col: Column | str) -> Column:
     return _col(col).cast(MONEY)
 
 
-def money_sum(col: Column | str, type: str = MONEY) -> Column:
-    """Exact sum of amounts, as a double."""
-    return F.sum(_col(col).cast(type)).cast("double")
+def money_sum(col: Column | str) -> Column:
+    """Exact sum of amounts to six places, as a double."""
+    return F.sum(_col(col).cast(FINE)).cast("double")
 
 
-def money_avg(col: Column | str, type: str = MONEY) -> Column:
+def money_avg(col: Column | str) -> Column:
     """Exact sum over the non-NULL count, as a double."""
-    return F.try_divide(money_sum(col, type), F.count(_col(col)).cast("double"))
+    return F.try_divide(money_sum(col), F.count(_col(col)).cast("double"))
 
 
 def round_money(col: Column | str, scale: int = 2) -> Column:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import money, money_sum, safe_number
+from ..functions.numbers import FINE, money, money_sum, safe_number
 from .dedupe import dedupe_any, dedupe_latest
 
 # Tax rates and the titles and categories of the low rate.
@@ -213,7 +213,7 @@ def line_cogs(
         asof_rate(lines, costs, "parent_sku", "order_date", "_cost_date", "_cost")
         .groupBy("parent_sku", "order_date")
         .agg(
-            money_sum("_cost").alias("_costs"),
+            F.sum(F.col("_cost").cast("decimal(38,12)")).cast("double").alias("_costs"),
             F.count(F.lit(1)).alias("_n"),
             F.count("_cost").alias("_n_known"),
         )
@@ -368,7 +368,7 @@ def daily_totals(
         line_cogs(lines, cost_history, catalogue, freebie)
         .groupBy("order_date", "order_name")
         .agg(
-            *[F.sum(money(c)).alias(n) for n, c in sums.items()],
+            *[F.sum(F.col(c).cast(FINE)).alias(n) for n, c in sums.items()],
             F.sum("fallback_lines").alias("fallback_lines"),
         )
     )

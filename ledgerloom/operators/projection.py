@@ -26,7 +26,7 @@ HORIZON = 60
 
 def daily_agg(fact: DataFrame, dims: Sequence[str] = FACT_DIMS) -> DataFrame:
     """Sums per day and item."""
-    return fact.groupBy(*dims).agg(*[money_sum(m, FINE).alias(m) for m in MEASURES])
+    return fact.groupBy(*dims).agg(*[money_sum(m).alias(m) for m in MEASURES])
 
 
 def last_dates(daily: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
@@ -45,7 +45,7 @@ def trailing_mean(
     recent = daily.join(last_dates(daily, series), list(series)).where(
         F.col("order_date").between(F.date_sub("max_date", n - 1), F.col("max_date"))
     )
-    return recent.groupBy(*item).agg(*[money_avg(m, FINE).alias(m) for m in measures])
+    return recent.groupBy(*item).agg(*[money_avg(m).alias(m) for m in measures])
 
 
 def days_to_fill(last: Column | str, horizon: int, as_of: date) -> Column:
@@ -150,9 +150,9 @@ def latest_month(daily: DataFrame, series: Sequence[str] = ("channel",)) -> Data
 
 def selling_price(daily: DataFrame, by: Sequence[str] = ("brand", "com", "channel")) -> DataFrame:
     """Average selling price of the latest month."""
-    units = F.nullif(money_sum("units_sold", FINE), F.lit(0.0))
+    units = F.nullif(money_sum("units_sold"), F.lit(0.0))
     return latest_month(daily).groupBy(*by).agg(
-        F.try_divide(money_sum("gmv", FINE), units).alias("avg_selling_price")
+        F.try_divide(money_sum("gmv"), units).alias("avg_selling_price")
     )
 
 
@@ -177,11 +177,11 @@ def contribution(
     """Share of every item in the value and units of its channel's latest month."""
     rows = latest_month(daily, within)
     items = rows.groupBy(*by).agg(
-        money_sum("gmv", FINE).alias("sku_monthly_gmv"),
-        money_sum("units_sold", FINE).alias("sku_monthly_units"),
+        money_sum("gmv").alias("sku_monthly_gmv"),
+        money_sum("units_sold").alias("sku_monthly_units"),
     )
     totals = rows.groupBy(*within).agg(
-        money_sum("gmv", FINE).alias("_gmv"), money_sum("units_sold", FINE).alias("_units")
+        money_sum("gmv").alias("_gmv"), money_sum("units_sold").alias("_units")
     )
     return (
         items.join(totals, list(within))
@@ -247,7 +247,7 @@ def projected_union(parts: Sequence[DataFrame]) -> DataFrame:
 def month_rollup(df: DataFrame, item: Sequence[str] = ITEM) -> DataFrame:
     """Sums per month and item with the last day seen."""
     return df.groupBy(month_start("order_date").alias("month"), *item).agg(
-        F.max("order_date").alias("max_date"), *[money_sum(m, FINE).alias(m) for m in MEASURES]
+        F.max("order_date").alias("max_date"), *[money_sum(m).alias(m) for m in MEASURES]
     )
 
 
@@ -264,7 +264,7 @@ def last_month_to_date(df: DataFrame, as_of: date, by: Sequence[str]) -> DataFra
         & (F.dayofmonth("order_date") <= upto)
     )
     return rows.groupBy(month_start("order_date").alias("month"), *by).agg(
-        money_sum("gross_sales", FINE).alias("lmtd_gross")
+        money_sum("gross_sales").alias("lmtd_gross")
     )
 
 

@@ -26,12 +26,18 @@ GAP_WORDS = [
 FILE_COLUMN = "_file"
 
 
-def csv_files(spark: SparkSession, path: str, patterns: Sequence[str] = PATTERNS) -> list[str]:
-    """CSV files of a folder whose lower-case name contains a pattern; names only are read."""
+def csv_files(
+    spark: SparkSession, path: str, patterns: Sequence[str] = PATTERNS
+) -> list[tuple[str, str]]:
+    """(channel, file) of a folder's CSVs whose lower-case name contains a pattern.
+
+    Only names are read, and only names reach the driver.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
     name = F.lower(F.element_at(F.split("path", "/"), -1))
     wanted = reduce(lambda a, b: a | b, [F.contains(name, F.lit(p)) for p in patterns])
-    return sorted(r.path for r in files.where(wanted).collect())
+    named = files.where(wanted).select(route_channel(name).alias("channel"), "path")
+    return sorted((r.channel, r.path) for r in named.collect())
 
 
 def normalise_headers(names: Sequence[str]) -> list[str]:
@@ -52,22 +58,26 @@ def normalise_headers(names: Sequence[str]) -> list[str]:
 
 def csv_folder_scan(
     spark: SparkSession, path: str, patterns: Sequence[str] = PATTERNS
-) -> list[DataFrame]:
-    """One frame of text columns per distinct header, with the file name in ``_file``.
+) -> list[tuple[str, DataFrame]]:
+    """(channel, frame of text columns) per channel and distinct header.
 
     The header of each file is taken from its first line; files without one are skipped.
-    Files with the same header are read together, so rows are only ever read in parallel.
+    Files with the same header are read together.  Cells may hold line breaks in quotes, so
+    one file is one task.
     """
+    def reader():
+        return spark.read.option("header", "true").option("escape", '"').option("multiLine", "true")
+
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for file in csv_files(spark, path, patterns):
-        header = spark.read.option("header", "true").csv(file).columns
+    for channel, file in csv_files(spark, path, patterns):
+        header = spark.read.option("header", "true").option("escape", '"').csv(file).columns
         if header:
-            groups[tuple(header)].append(file)
+            groups[(channel, *header)].append(file)
     frames = []
-    for header, files in groups.items():
+    for (channel, *header), files in groups.items():
         schema = StructType([StructField(n, StringType()) for n in normalise_headers(header)])
-        rows = spark.read.option("header", "true").option("multiLine", "false").schema(schema).csv(files)
-        frames.append(rows.withColumn(FILE_COLUMN, F.col("_metadata.file_name")))
+        rows = reader().schema(schema).csv(files)
+        frames.append((channel, rows.withColumn(FILE_COLUMN, F.col("_metadata.file_name"))))
     return frames
 
 
@@ -112,9 +122,7 @@ def campaign_frames(
 ) -> dict[str, DataFrame]:
     """Cleaned campaign rows per channel."""
     per_channel: dict[str, list[DataFrame]] = defaultdict(list)
-    for frame in csv_folder_scan(spark, path, patterns):
-        clean = scrub_cells(frame).withColumn("pg_extracted_at", moment(as_of))
-        for channel in ROUTES:
-            routed = clean.where(route_channel(FILE_COLUMN) == channel)
-            per_channel[channel].append(routed.drop(FILE_COLUMN))
+    for channel, frame in csv_folder_scan(spark, path, patterns):
+        clean = scrub_cells(frame).drop(FILE_COLUMN)
+        per_channel[channel].append(clean.withColumn("pg_extracted_at", moment(as_of)))
     return {channel: concat_by_name(frames) for channel, frames in per_channel.items()}
