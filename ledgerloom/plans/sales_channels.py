@@ -215,7 +215,7 @@ def salon_feed(orders: DataFrame) -> DataFrame:
     )
     kept = reshape.exclude_groups(kept, "order_id", not_credit)
     return kept.withColumn(
-        "order_date", F.to_date(F.to_timestamp("order_date", F.lit(ORDER_TIME_FORMAT)))
+        "order_date", F.to_date(F.to_timestamp("order_date", ORDER_TIME_FORMAT))
     )
 
 

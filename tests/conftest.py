@@ -15,6 +15,7 @@ def session(partitions: int = 8):
         SparkSession.builder.master("local[8]")
         .appName("ledgerloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "8g")
