@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import FINE
+from ..functions.numbers import FINE, money_sum
 from .dedupe import dedupe_any, pick_preferred
 from .reshape import spread_month
 
@@ -72,8 +72,8 @@ def mapping_rows(mapping: DataFrame, spec: ChannelSpec) -> DataFrame:
     return mapping.where(channel == (spec.guard.lower() if spec.guard_any_case else spec.guard))
 
 
-def channel_sales(src: DataFrame, spec: ChannelSpec, mapping: DataFrame) -> DataFrame:
-    """Sales of one feed per day and product.
+def channel_rows(src: DataFrame, spec: ChannelSpec, mapping: DataFrame) -> DataFrame:
+    """Sales rows of one feed, one per day, product and mapping row.
 
     The feed is summed by (day, product, key, region) before the mapping join, so the join
     meets a best-seller as one row per day, not as all its order lines.  ``mapping`` has
@@ -135,10 +135,16 @@ def channel_sales(src: DataFrame, spec: ChannelSpec, mapping: DataFrame) -> Data
         sales.alias("gross_sales"),
         F.col("units_sold").cast("double").alias("units_sold"),
     )
-    out = out.groupBy(*DIMS).agg(*[F.sum(F.col(m).cast(FINE)).cast("double").alias(m) for m in MEASURES])
     if spec.monthly:
-        out = spread_month(out, "order_date", MEASURES)
-    return out.select(*DIMS, *MEASURES)
+        out = spread_month(out, "order_date", MEASURES).select(*DIMS, *MEASURES)
+    return out
+
+
+def channel_sales(src: DataFrame, spec: ChannelSpec, mapping: DataFrame) -> DataFrame:
+    """Sales of one feed, one row per combination of its dimensions."""
+    return channel_rows(src, spec, mapping).groupBy(*DIMS).agg(
+        *[money_sum(m).alias(m) for m in MEASURES]
+    )
 
 
 def margin_factor(col, factor: str):
@@ -174,7 +180,7 @@ def sales_fact(unioned: DataFrame, as_of: date) -> DataFrame:
         .groupBy(*FACT_DIMS)
         .agg(
             *[
-                F.coalesce(F.sum(F.col(m).cast(FINE)).cast("double"), F.lit(0.0)).alias(m)
+                F.coalesce(money_sum(m), F.lit(0.0)).alias(m)
                 for m in MEASURES
             ]
         )
@@ -255,6 +261,9 @@ def sales_union(
     specs: Sequence[ChannelSpec],
     as_of: date,
 ) -> DataFrame:
-    """The sales fact over every spec."""
-    parts = [channel_sales(feeds[s.feed], s, mappings[s.mapping]) for s in specs]
+    """The sales fact over every spec.
+
+    The branches are not grouped one by one: the fact groups them once.
+    """
+    parts = [channel_rows(feeds[s.feed], s, mappings[s.mapping]) for s in specs]
     return sales_fact(union_channels(parts), as_of)

@@ -8,6 +8,7 @@ once in the library and once as SQL in the query modules.
 from __future__ import annotations
 
 import re
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -146,8 +147,18 @@ def register(more: dict[str, str]) -> None:
     STANDINS.update(more)
 
 
+_plans: WeakKeyDictionary[SparkSession, dict[tuple[str, str], DataFrame]] = WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table or a stand-in."""
+    """A given table or a stand-in; its plan is built once per session."""
+    plans = _plans.setdefault(spark, {})
+    if (sf_dir, name) not in plans:
+        plans[sf_dir, name] = _table(spark, sf_dir, name)
+    return plans[sf_dir, name]
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in STANDINS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     sql = STANDINS[name]

@@ -16,6 +16,13 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Settings for whoever builds the session: Python call sites are not recorded for every
+# column expression, which makes wide plans several times faster to build.
+BUILD_SETTINGS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply :data:`SETTINGS` to the session."""
