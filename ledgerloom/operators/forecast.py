@@ -61,8 +61,11 @@ def variance(df: DataFrame, places: Sequence[str] = PLACES) -> DataFrame:
     A gap becomes empty text; a percentage of a zero forecast is a gap.
     """
     gap = F.col("actual") - F.col("projected")
-    pct = F.bround(F.try_divide(gap * 100, F.col("projected")).cast("decimal(18,6)"), 1).cast("double")
+    exact = F.try_divide(gap * 100, F.col("projected"))
+    pct = F.bround(exact.cast("decimal(18,6)"), 1).cast("double")
     long = by_place(df, places).withColumns({"a_p": gap, "a_p_pct": pct})
+    # the report writes a small negative percentage as -0.0%
+    minus_zero = F.when((F.col("a_p_pct") == 0) & (exact < 0), "-").otherwise("")
 
     def text(c: str) -> Column:
         return F.coalesce(F.format_number(c, 0), F.lit(""))
@@ -74,7 +77,8 @@ def variance(df: DataFrame, places: Sequence[str] = PLACES) -> DataFrame:
             "projected_text": text("projected"),
             "a_p_text": text("a_p"),
             "a_p_pct_text": F.coalesce(
-                F.concat(F.col("a_p_pct").cast("decimal(18,1)").cast("string"), F.lit("%")), F.lit("")
+                F.concat(minus_zero, F.col("a_p_pct").cast("decimal(18,1)").cast("string"), F.lit("%")),
+                F.lit(""),
             ),
             "band": variance_band("a_p_pct"),
         }

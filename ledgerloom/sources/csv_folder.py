@@ -28,16 +28,27 @@ FILE_COLUMN = "_file"
 
 def csv_files(
     spark: SparkSession, path: str, patterns: Sequence[str] = PATTERNS
-) -> list[tuple[str, str]]:
-    """(channel, file) of a folder's CSVs whose lower-case name contains a pattern.
+) -> dict[tuple[str, str], list[str]]:
+    """(channel, name) -> CSV files, for the entries of a folder whose name has a pattern.
 
-    Only names are read, and only names reach the driver.
+    An entry is a file, or the directory of part files that Spark writes under a file's
+    name.  Only names are read, and only names reach the driver.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
-    name = F.lower(F.element_at(F.split("path", "/"), -1))
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select("path")
+    )
+    below = F.element_at(F.split("path", re.escape(path.rstrip("/") + "/")), -1)
+    name = F.lower(F.element_at(F.split(below, "/"), 1))
     wanted = reduce(lambda a, b: a | b, [F.contains(name, F.lit(p)) for p in patterns])
-    named = files.where(wanted).select(route_channel(name).alias("channel"), "path")
-    return sorted((r.channel, r.path) for r in named.collect())
+    entries: dict[tuple[str, str], list[str]] = defaultdict(list)
+    named = files.select(name.alias("name"), "path").where(wanted)
+    for r in named.withColumn("channel", route_channel("name")).sort("path").collect():
+        entries[r.channel, r.name].append(r.path)
+    return entries
 
 
 def normalise_headers(names: Sequence[str]) -> list[str]:
@@ -61,7 +72,7 @@ def csv_folder_scan(
 ) -> list[tuple[str, DataFrame]]:
     """(channel, frame of text columns) per channel and distinct header.
 
-    The header of each file is taken from its first line; files without one are skipped.
+    The header of each entry is taken from its first line; entries without one are skipped.
     Files with the same header are read together.  Cells may hold line breaks in quotes, so
     one file is one task.
     """
@@ -69,15 +80,15 @@ def csv_folder_scan(
         return spark.read.option("header", "true").option("escape", '"').option("multiLine", "true")
 
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for channel, file in csv_files(spark, path, patterns):
-        header = spark.read.option("header", "true").option("escape", '"').csv(file).columns
+    for (channel, _), files in csv_files(spark, path, patterns).items():
+        header = spark.read.option("header", "true").option("escape", '"').csv(files[0]).columns
         if header:
-            groups[(channel, *header)].append(file)
+            groups[(channel, *header)].extend(files)
     frames = []
     for (channel, *header), files in groups.items():
         schema = StructType([StructField(n, StringType()) for n in normalise_headers(header)])
         rows = reader().schema(schema).csv(files)
-        frames.append((channel, rows.withColumn(FILE_COLUMN, F.col("_metadata.file_name"))))
+        frames.append((channel, rows.withColumn(FILE_COLUMN, F.col("_metadata.file_path"))))
     return frames
 
 
