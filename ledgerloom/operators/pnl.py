@@ -203,6 +203,9 @@ def line_cogs(
     Costs that tie on the same day each count; they are summed per (SKU, day) first, so a
     tie changes the amount and not the number of lines.  ``fallback_lines`` is the number
     of regular costs that had to be estimated.
+
+    Cost and catalogue price are put together per (SKU, day) asked for, so the lines are
+    joined once, on a key that spreads a best-seller over its days.
     """
     costs = cost_history.select(
         F.col("sku_name").alias("parent_sku"),
@@ -223,6 +226,10 @@ def line_cogs(
         .groupBy("parent_sku")
         .agg(F.max("mrp").cast("double").alias("_catalogue_mrp"))
     )
+    asked = lines.where(F.col("parent_sku").isNotNull()).select("parent_sku", "order_date").distinct()
+    lookup = asked.join(per_day, ["parent_sku", "order_date"], "left").join(
+        catalogue_mrp, "parent_sku", "left"
+    )
     flag = is_freebie() if freebie is None else freebie
     zero = F.lit(0.0)
     qty = F.col("item_quantity")
@@ -236,8 +243,7 @@ def line_cogs(
         return F.coalesce(known, zero) + F.coalesce(guess * F.col("_unknown"), zero)
 
     return (
-        lines.join(per_day, ["parent_sku", "order_date"], "left")
-        .join(catalogue_mrp, "parent_sku", "left")
+        lines.join(lookup, ["parent_sku", "order_date"], "left")
         .withColumns({"_freebie": flag, "_unknown": unknown})
         .withColumns(
             {

@@ -158,9 +158,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return plans[sf_dir, name]
 
 
+SPREAD_FROM, SPREAD_TO = 4 << 20, 256 << 20
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """A given table.  One of a few megabytes is a single row group, which one task would
+    read and derive everything from, so it is dealt out first; a larger one has row groups
+    enough and is read as it is."""
+    df = spark.read.parquet(path)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if SPREAD_FROM <= size < SPREAD_TO:
+        df = df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
+    return df
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in STANDINS:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return _read(spark, f"{sf_dir}/{name}.parquet")
     sql = STANDINS[name]
     used = set(re.findall(r"\{(\w+)\}", sql))
     return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in used}) if used else spark.sql(sql)
