@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import FINE, money, money_sum, safe_number
 from .dedupe import dedupe_any, dedupe_latest
+from .joins import lookup
 
 # Tax rates and the titles and categories of the low rate.
 LOW_RATE, FULL_RATE = 0.05, 0.18
@@ -63,7 +64,7 @@ def embedded_tax(lines: DataFrame, kits: DataFrame, low: Column | None = None) -
     """Add ``item_gst``, the tax contained in ``item_selling_rev``."""
     by_line = F.when(low_rate() if low is None else low, inside(LOW_RATE)).otherwise(inside(FULL_RATE))
     factor = F.coalesce("tax_factor", by_line)
-    joined = lines.join(kits, "parent_sku", "left")
+    joined = lookup(lines, kits, ["parent_sku"])
     return joined.withColumn("item_gst", F.col("item_selling_rev") * factor).drop("tax_factor")
 
 
@@ -115,7 +116,7 @@ def gross_daily(lines: DataFrame) -> DataFrame:
 def returns_daily(lines: DataFrame, failed: DataFrame) -> DataFrame:
     """Per order date: orders, units and list-price value of lines whose order failed."""
     return (
-        lines.join(failed, "order_name", "left_semi")
+        lookup(lines, failed, ["order_name"], "left_semi")
         .groupBy("order_date")
         .agg(
             F.countDistinct("order_name").alias("rto_orders"),
@@ -127,7 +128,7 @@ def returns_daily(lines: DataFrame, failed: DataFrame) -> DataFrame:
 
 def net_lines(lines: DataFrame, failed: DataFrame) -> DataFrame:
     """Lines whose order did not fail."""
-    return lines.join(failed, "order_name", "left_anti")
+    return lookup(lines, failed, ["order_name"], "left_anti")
 
 
 def net_sales_daily(lines: DataFrame) -> DataFrame:
@@ -227,7 +228,7 @@ def line_cogs(
         .agg(F.max("mrp").cast("double").alias("_catalogue_mrp"))
     )
     asked = lines.where(F.col("parent_sku").isNotNull()).select("parent_sku", "order_date").distinct()
-    lookup = asked.join(per_day, ["parent_sku", "order_date"], "left").join(
+    per_pair = asked.join(per_day, ["parent_sku", "order_date"], "left").join(
         catalogue_mrp, "parent_sku", "left"
     )
     flag = is_freebie() if freebie is None else freebie
@@ -243,7 +244,7 @@ def line_cogs(
         return F.coalesce(known, zero) + F.coalesce(guess * F.col("_unknown"), zero)
 
     return (
-        lines.join(lookup, ["parent_sku", "order_date"], "left")
+        lookup(lines, per_pair, ["parent_sku", "order_date"])
         .withColumns({"_freebie": flag, "_unknown": unknown})
         .withColumns(
             {

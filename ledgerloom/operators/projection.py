@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import null_marker
 from ..functions.numbers import FINE, money_avg, money_sum
 from ..functions.timing import days_in_month, month_start
+from .joins import lookup
 from .sales import FACT_DIMS, MEASURES
 
 SERIES = ["brand", "channel"]
@@ -124,7 +125,7 @@ def rolling_projection(
             for m in measures
         ]
     )
-    projected = df.where("is_projected").join(means, [*keys, "order_date"], "left")
+    projected = lookup(df.where("is_projected"), means, [*keys, "order_date"])
     rolled = projected.withColumns({m: F.col(f"_mean_{m}") for m in measures})
     kept = [c for c in df.columns if c != "days_ahead"]
     return df.where(~F.col("is_projected")).select(*kept).unionByName(rolled.select(*kept))

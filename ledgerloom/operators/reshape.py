@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timing import days_in_month, days_of_month
+from .joins import lookup
 
 
 def spread_month(df: DataFrame, date: str, measures: Sequence[str], out: str = "order_date") -> DataFrame:
@@ -57,5 +58,9 @@ def exclude_groups(df: DataFrame, key: str, predicate: Column) -> DataFrame:
 
     A semi join on the qualifying keys: a window would hold each group in one task.
     """
-    keys = df.where(predicate).select(F.col(key).alias("_key")).distinct()
-    return df.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    # NULL is a group too: it is told apart by a flag and a stand-in value
+    group = F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_key")
+    flag = F.col(key).isNull().alias("_null")
+    keys = df.where(predicate).select(group, flag).distinct()
+    rows = df.select("*", group, flag)
+    return lookup(rows, keys, ["_key", "_null"], "left_semi").drop("_key", "_null")

@@ -12,6 +12,7 @@ from ..functions.ids import clean_id, pad_id, spread_nulls
 from ..functions.status import first_match
 from ..functions.timing import days_between, hours_between, moment, to_zone
 from .dedupe import dedupe_any, dedupe_latest
+from .joins import lookup
 
 # Statuses and labels.
 NEVER_SENT = ["Returned", "Assigned", "Cancelled", "Printed", "CANCELLED", "Manifest Scanned"]
@@ -72,12 +73,9 @@ def enrich_place(
 ) -> DataFrame:
     """Left lookup of place columns by a postal code that may carry a float suffix."""
     one = dedupe_any(places.where(F.col(place_key).isNotNull()), [place_key], order_by)
-    one = one.select(F.col(place_key).cast("string").alias("_place"), *columns)
+    one = one.select(F.col(place_key).cast("string").alias("_code"), *columns)
     code = clean_id(F.col(key).cast("string"), strip=(".0",), null_words=())
-    return (
-        df.withColumn("_code", code).join(one, F.col("_code") == F.col("_place"), "left")
-        .drop("_code", "_place")
-    )
+    return lookup(df.withColumn("_code", code), one, ["_code"]).drop("_code")
 
 
 def routed_join(

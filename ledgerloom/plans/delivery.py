@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import clean_id, pad_id
 from ..operators import tracking as t
 from ..operators.dedupe import dedupe_any, dedupe_latest
+from ..operators.joins import lookup
 
 Order = Sequence[Column | str]
 
@@ -78,8 +79,8 @@ def tracking_report(
         addresses.where(F.col("pickup_pincode").isNotNull()), ["order_id"], "ingestion_date",
         ["pickup_pincode"],
     ).select("order_id", clean_id("pickup_pincode", strip=(".0",), null_words=()).alias("pickup_pincode"))
-    from_wh = from_wh.join(
-        wh.withColumnRenamed("pincode_pickup", "pickup_pincode"), "pickup_pincode", "left"
+    from_wh = lookup(
+        from_wh, wh.withColumnRenamed("pincode_pickup", "pickup_pincode"), ["pickup_pincode"]
     )
     d = d.join(from_wh, "order_id", "left")  # addresses keep their ids unpadded
     columns = [

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import clean_id
 from ..operators import reshape, sales
 from ..operators.dedupe import dedupe_any
+from ..operators.joins import lookup
 from ..operators.sales import ChannelSpec
 
 # Fixed values.
@@ -189,7 +190,7 @@ def gt_nba_feed(orders: DataFrame, listing: DataFrame) -> DataFrame:
         listing.select(F.col("product_id").cast("string").alias("_id"), "vsku_code"), ["_id"], ["vsku_code"]
     )
     key = clean_id(F.col("product_id").cast("string"), strip=(".0",), null_words=())
-    return orders.withColumn("_pid", key).join(one, F.col("_pid") == F.col("_id"), "left")
+    return lookup(orders.withColumn("_id", key), one, ["_id"])
 
 
 def mt_core_feed(po: DataFrame, invoices: DataFrame) -> DataFrame:
