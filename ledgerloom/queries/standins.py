@@ -111,12 +111,17 @@ STANDINS: dict[str, str] = {
 # small cards that stay the same at every scale
 CARDS: dict[str, str] = {
     "in_boxes": """
-        SELECT * FROM (VALUES ('BOX1', 200.0, 10.0, 10.0, 10.0, 20.0), ('BOX2', 450.0, 12.0, 11.0, 17.0, 35.0),
+        SELECT packaging_sku, CAST(volume_weight_gram AS DOUBLE) AS volume_weight_gram, CAST(length_cm_ AS DOUBLE) AS length_cm_,
+          CAST(width_cm AS DOUBLE) AS width_cm, CAST(height_cm AS DOUBLE) AS height_cm, CAST(dead_weight AS DOUBLE) AS dead_weight
+        FROM (VALUES ('BOX1', 200.0, 10.0, 10.0, 10.0, 20.0), ('BOX2', 450.0, 12.0, 11.0, 17.0, 35.0),
           ('BOX3', 900.0, 20.0, 15.0, 15.0, 60.0), ('BOX4', NULL, NULL, NULL, NULL, 80.0),
           ('BOX5', 2400.0, 30.0, 20.0, 20.0, NULL))
           AS t(packaging_sku, volume_weight_gram, length_cm_, width_cm, height_cm, dead_weight)""",
     "in_rate_card": """
-        SELECT * FROM (VALUES
+        SELECT partner, charge_type, weight_slab_grams, CAST(zone_a AS DOUBLE) AS zone_a, CAST(zone_b AS DOUBLE) AS zone_b,
+          CAST(zone_c AS DOUBLE) AS zone_c, CAST(zone_d AS DOUBLE) AS zone_d, CAST(zone_ef AS DOUBLE) AS zone_ef,
+          CAST(cod_flat AS DOUBLE) AS cod_flat, CAST(cod_pct AS DOUBLE) AS cod_pct
+        FROM (VALUES
           ('Delhivery', 'Forward', 250, 30.0, 35.0, 40.0, 45.0, 60.0, 25.0, 0.015),
           ('Delhivery', 'Forward', 500, 38.0, 43.0, 48.0, 55.0, 75.0, 25.0, 0.015),
           ('Delhivery', 'Forward', 501, 20.0, 22.0, 25.0, 28.0, 36.0, NULL, NULL),
