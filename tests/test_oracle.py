@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from ledgerloom.queries import all_oracles, all_queries
 from tests.oracle_check import compare, duck
 
 SF = entry.SMOKE_DIR
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = all_oracles()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in all_queries()}
 
 
 @pytest.fixture(scope="module")
