@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, quality_rules
+from . import chat_format, html_extract, line_dedup, packing, quality_rules
 from .store import written
 
 
@@ -16,6 +16,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 PROBE = "</s>[INST] ok [/INST]"
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in pieces of at most 2048 tokens, placed in token-budget batches of length buckets."""
+    return packing.pack(packing.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier line or are one edit away from it."""
+    docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "text", "n_lines_removed")
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and conversation -1 whose texts look like control strings."""
     probe = spark.sql(
@@ -50,7 +67,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_html_extraction": op3_html_extraction,
+    "op6_packing": op6_packing,
     "op8_chat_formatting": op8_chat_formatting,
+    "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLE: dict[str, str] = {}
