@@ -6,8 +6,9 @@ at their ends.
 
 1. Equal lines are grouped by hash; each distinct line keeps its earliest place.
 2. Two lines one edit apart share their first half or their last half.  Only lines that share a
-   half (and nearly the length) with another distinct line go on.  This drops no pair.
-3. Those lines emit the hash of every variant with one character deleted.  Equal variants at equal
+   half (and nearly the length) with another distinct line go on; this drops no pair.
+   Of these, all but a sixteenth must be shared, which leaves a few characters where the edit can be.
+3. There the lines emit the hash of every variant with one character deleted.  Equal variants at equal
    places are one replacement apart: the earliest of them is the witness of the others.  A variant
    that equals a whole line is one insertion apart.  So no pairs are listed within a group.
 4. The edit distance of each line to its witness is checked on the texts.
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from ..operators.joins import lookup
 from .store import written
 
+SEGMENTS = 16
+FILTER_BITS = 1 << 24
 MIN_NEAR_CHARS = 16  # shorter lines are compared for equality only: one edit may change their sense
 
 
@@ -53,6 +56,57 @@ def _halves(line: Column, n: Column) -> Column:
     )
 
 
+def _segments(line: Column, n: Column) -> Column:
+    """(key, first, last): lines one edit apart share the key of the segment that the edit lies in.
+
+    A key covers all but one of :data:`SEGMENTS` equal parts; ``first .. last`` are the characters
+    of the line (from 1) that it leaves out.
+    """
+    sizes = F.array_distinct(F.array(n, n - 1))
+    places = F.sequence(F.lit(0), F.lit(SEGMENTS - 1))
+    cut = lambda s, size: F.floor(s * size / SEGMENTS).cast("int")
+    return F.flatten(
+        F.transform(
+            sizes,
+            lambda size: F.transform(
+                places,
+                lambda s: F.struct(
+                    F.xxhash64(
+                        s,
+                        size,
+                        F.substring(line, F.lit(1), cut(s, size)),
+                        F.substring(line, n - size + cut(s + 1, size) + 1, n),
+                    ).alias("key"),
+                    (cut(s, size) + 1).alias("first"),
+                    (n - size + cut(s + 1, size)).alias("last"),
+                ),
+            ),
+        )
+    )
+
+
+def _shared(rows: DataFrame, key: str) -> DataFrame:
+    """The rows (``key``, ``kh``, ...) whose key another line has too."""
+    twice = rows.groupBy(key).agg(F.min("kh").alias("lo"), F.max("kh").alias("hi")).where("lo <> hi").select(key)
+    return lookup(rows, twice, [key], how="left_semi")
+
+
+def _in_filter(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without most of the rows whose id is not in ``ids``; none whose id is there is lost.
+
+    A bitmap of fixed size over hashes of the ids, so what is broadcast has that size whatever the
+    number of documents; where many ids set most bits, fewer rows are left out.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    bits = ids.select(place("id").alias("h")).groupBy(F.bitmap_bucket_number("h").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("_bits")
+    )
+    at = F.bitmap_bit_position(place("id"))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    joined = docs.join(F.broadcast(bits), F.bitmap_bucket_number(place("id")) == F.col("_bucket"))
+    return joined.where(F.getbit(byte, (at % 8).cast("int")) == 1).drop("_bucket", "_bits")
+
+
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_near_chars: int = MIN_NEAR_CHARS) -> DataFrame:
     """(id, pos) of every line that goes."""
     every = lines(docs, id_col, text_col).where("id IS NOT NULL")
@@ -62,32 +116,44 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _key(F.col("line")).alias("k"),
         F.when(F.length("line") >= min_near_chars, _halves(F.col("line"), F.length("line"))).alias("halves"),
     )
-    place = F.struct("id", "pos")
-    distinct = written(keyed.groupBy("k").agg(F.min(place).alias("at"), F.first("halves").alias("halves"), F.count("*").alias("n")))
-
-    half = distinct.where("halves IS NOT NULL").select("k", "at", F.explode("halves").alias("half"))
-    shared = half.groupBy("half").agg(F.min(F.xxhash64("k")).alias("lo"), F.max(F.xxhash64("k")).alias("hi")).where("lo <> hi").select("half")
-    near = lookup(half, shared, ["half"], how="left_semi").groupBy("k").agg(F.first("at").alias("at"))
+    distinct = written(
+        keyed.groupBy("k").agg(F.min(F.struct("id", "pos")).alias("at"), F.first("halves").alias("halves"), F.count("*").alias("n"))
+    )
 
-    text = near.select(F.col("at.id").alias("id"), F.col("at.pos").alias("pos"), "k")
-    fetched = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(text, "id")
-    own = fetched.select("k", F.struct("id", "pos").alias("at"), normal(F.element_at(F.split("text", "\n"), F.col("pos") + 1)).alias("line"))
+    half = distinct.where("halves IS NOT NULL").select(F.xxhash64("k").alias("kh"), F.explode("halves").alias("half"))
+    near = _shared(half, "half").select("kh").distinct()
+    held = distinct.select(F.xxhash64("k").alias("kh"), "k", F.col("at.id").alias("id"), F.col("at.pos").alias("pos"))
+    places = written(held.join(near, "kh", "left_semi"))
+    source = _in_filter(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), places)
+    own = source.join(places, "id").select(
+        "k", "kh", F.struct("id", "pos").alias("at"), normal(F.element_at(F.split("text", "\n"), F.col("pos") + 1)).alias("line")
+    )
     own = written(own.where(_key(F.col("line")) == F.col("k")).dropDuplicates(["k"]))
 
     n = F.length("line")
-    variants = own.select(
+    parts = own.select("k", "kh", F.explode(_segments(F.col("line"), n)).alias("part")).select("k", "kh", "part.*")
+    spots = _shared(parts.select("kh", "key", "first", "last"), "key").select("kh", F.explode(F.sequence("first", "last")).alias("i"))
+    spots = spots.groupBy("kh").agg(F.collect_set("i").alias("spots"))
+    variants = own.join(spots, "kh").select(
         "k",
         "at",
-        F.posexplode(
+        F.explode(
             F.transform(
-                F.sequence(F.lit(1), n),
-                lambda i: F.xxhash64(F.concat(F.substring(F.col("line"), F.lit(1), i - 1), F.substring(F.col("line"), i + 1, n))),
+                "spots",
+                lambda i: F.struct(
+                    i.alias("i"),
+                    F.xxhash64(
+                        F.concat(F.substring(F.col("line"), F.lit(1), i - 1), F.substring(F.col("line"), i + 1, n))
+                    ).alias("v"),
+                ),
             )
-        ).alias("i", "v"),
+        ).alias("cut"),
+    ).select("k", "at", "cut.*")
+    whole = own.join(spots.select("kh"), "kh", "left_semi").select(
+        F.xxhash64("line").alias("v"), F.col("at").alias("lat"), F.col("k").alias("lk")
     )
-    whole = own.select(F.xxhash64("line").alias("v"), F.col("at").alias("lat"), F.col("k").alias("lk"))
     first = variants.groupBy("v", "i").agg(F.min(F.struct("at", "k")).alias("w"), F.count("*").alias("m")).where("m > 1")
-    replaced = lookup(variants, first, ["v", "i"]).where("w.k <> k").select(F.col("k").alias("late"), F.col("w.k").alias("early"))
+    replaced = lookup(variants, first, ["v", "i"], how="inner").where("w.k <> k").select(F.col("k").alias("late"), F.col("w.k").alias("early"))
     inserted = lookup(variants, whole, ["v"], how="inner").select(
         F.when(F.col("lat") < F.col("at"), F.col("k")).otherwise(F.col("lk")).alias("late"),
         F.when(F.col("lat") < F.col("at"), F.col("lk")).otherwise(F.col("k")).alias("early"),
