@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, html_extract, line_dedup, packing, quality_rules
+from . import chat_format, decontaminate, html_extract, line_dedup, packing, quality_rules, toxicity
 from .store import written
 
 
@@ -22,6 +22,11 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item against every document."""
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in pieces of at most 2048 tokens, placed in token-budget batches of length buckets."""
     return packing.pack(packing.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
@@ -33,6 +38,18 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "text", "n_lines_removed")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by models of the labelled rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model).select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT).alias("held_out"),
+        F.col("toxicity").alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and conversation -1 whose texts look like control strings."""
     probe = spark.sql(
@@ -68,7 +85,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_html_extraction": op3_html_extraction,
+    "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
