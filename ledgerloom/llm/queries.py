@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, html_extract, line_dedup, packing, quality_rules, toxicity
+from . import chat_format, decontaminate, html_extract, line_dedup, packing, quality_rules, substring_dedup, toxicity
 from .store import written
 
 
@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 PROBE = "</s>[INST] ok [/INST]"
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its 13-word repeats of documents with smaller ids."""
+    cut = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = html_extract.extract_main_text(table(spark, sf_dir, "pages"))
@@ -84,6 +90,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_html_extraction": op3_html_extraction,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
