@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -24,10 +26,35 @@ BUILD_SETTINGS = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers of a cluster need not have it installed; ``spark-submit --py-files`` would do the same.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(here)
+    path = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), f"{name}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(here):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join(name, os.path.relpath(full, here)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SETTINGS` to the session."""
+    """Apply :data:`SETTINGS` to the session and make the package known to its workers."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
