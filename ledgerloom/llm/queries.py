@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, html_extract, line_dedup, packing, quality_rules, substring_dedup, toxicity
-from .store import written
+from . import chat_format, decontaminate, html_extract, jaccard_join, license_scan, line_dedup, packing, quality_rules, substring_dedup, toxicity
+from .store import prepared, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 PROBE = "</s>[INST] ok [/INST]"
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every licensed block of every document."""
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its 13-word repeats of documents with smaller ids."""
     cut = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -28,6 +33,11 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of its links."""
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item against every document."""
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -89,14 +99,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {
-    "op2_substring_dedup": op2_substring_dedup,
-    "op3_html_extraction": op3_html_extraction,
-    "op5_decontamination": op5_decontamination,
-    "op6_packing": op6_packing,
-    "op7_toxicity": op7_toxicity,
-    "op8_chat_formatting": op8_chat_formatting,
-    "op9_line_dedup": op9_line_dedup,
-    "op10_quality_rules": op10_quality_rules,
-}
+_OPERATORS = [
+    op1_license_scan, op2_substring_dedup, op3_html_extraction, op4_jaccard_join, op5_decontamination,
+    op6_packing, op7_toxicity, op8_chat_formatting, op9_line_dedup, op10_quality_rules,
+]
+QUERIES = {fn.__name__: (lambda spark, sf_dir, fn=fn: fn(prepared(spark), sf_dir)) for fn in _OPERATORS}
 ORACLE: dict[str, str] = {}

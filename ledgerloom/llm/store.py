@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from ..session import shared_folder
+from ..session import shared_folder, tune
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings and Arrow batches that stay small for long texts."""
+    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return spark
 
 
 def written(df: DataFrame) -> DataFrame:
