@@ -143,7 +143,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     used; no rows give no rows.
     """
     buckets = partitions(docs)
-    chunk = F.pmod(F.xxhash64(F.col(id_col)), F.lit(2 * buckets)).cast("int").alias("chunk")
+    chunk = F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)).cast("int").alias("chunk")
     source = docs.select(chunk, F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def packed(batches):
