@@ -4,19 +4,18 @@ Documents are sets of distinct word shingles.  Two sets with Jaccard similarity
 more must share a token within their prefixes under every global order of the tokens, where the
 prefix of a set of n tokens has ``n - ceil(threshold * n) + 1`` of them.  Three orders are used:
 
-1. rare tokens first: tokens below a hash bound, by their document frequency, then hash;
-2. the same by the magnitude of the frequency, then falling hash;
+1. rare tokens first: by document frequency, then hash;
+2. by the magnitude of the frequency, then falling hash;
 3. by hash alone.
 
-Frequencies are counted over the tokens below the hash bound (a fixed share of all tokens, larger
-than a prefix), which is all that the orders need.  A token that one document alone has cannot be
-shared; a document whose prefix under some order has only such tokens has no partner.  Most
-documents end there.  The others are joined on the tokens of their first prefix; a candidate pair
-that also shares tokens under the second and the third order is verified on the whole sets.
+A token that one document alone has cannot be shared; a document whose prefix under some order has
+only such tokens has no partner.  Most documents end there.  The others are joined on the tokens of
+their first prefix.  What stands before the first common token is not common, so its places bound
+what a pair can share; a pair that passes must share tokens under the second and the third order
+too, and is then verified on the whole sets.
 
 Equal texts are one set from the start.  Links are wanted up to connectivity, so no group is listed
-pair by pair: each token first links its documents to one of them; only documents of different
-components that still share a token are compared directly.
+pair by pair: each token first links its documents to the one that has it earliest; only documents of different components that still share a token are compared directly.
 """
 
 from __future__ import annotations
@@ -33,7 +32,6 @@ from .store import partitions, written
 
 SHINGLE = 5
 PERCENT = 75  # similarity of a link
-SAMPLED = 0.4  # share of the tokens whose frequency is counted
 _KEY_BITS = 48
 _U = np.uint64
 
@@ -74,20 +72,20 @@ class _Chunk:
             d.append(y + w.first)
         self.h, self.d = np.concatenate(h), np.concatenate(d)
         self.size = np.bincount(self.d, minlength=len(self.ids))
-        self.sampled = np.flatnonzero(self.h < _U(int(SAMPLED * 2**64)))
-        self.keys, self.inverse, self.count = np.unique(self.h[self.sampled] >> _U(64 - _KEY_BITS), return_inverse=True, return_counts=True)
+        self.keys, self.inverse, self.count = np.unique(self.h >> _U(64 - _KEY_BITS), return_inverse=True, return_counts=True)
 
     def tokens(self, buckets: int) -> pa.Table:
         return chunks.messages(self.number, self.keys, _KEY_BITS, 6, self.count.astype(np.uint64), 4, buckets)
 
-    def prefixes(self, replies: pa.Table, buckets: int, percent: int) -> list[np.ndarray]:
-        """Per order, the tokens (places in ``h``) of the prefixes that others may share, by document."""
+    def prefixes(self, replies: pa.Table, buckets: int, percent: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """Per order, the tokens (places in ``h``) of the prefixes that others have too, by document.
+
+        And the number of tokens that each document alone has.
+        """
         at, known = chunks.cuts(self.keys, _KEY_BITS, buckets), np.zeros(len(self.keys), np.int64)
         for b, raw in chunks.read_replies(replies, 1).items():
             known[at[b] : at[b + 1]] = chunks.unplanes(raw, 4).astype(np.int64)
-        beyond = np.int64(1) << 40  # tokens that are not counted come last
-        frequency = np.full(len(self.h), beyond)
-        frequency[self.sampled] = known[self.inverse]
+        frequency = known[self.inverse]
         start = np.searchsorted(self.d, np.arange(len(self.ids) + 1))
         length = _prefix_length(self.size, percent)
         out = []
@@ -99,7 +97,7 @@ class _Chunk:
             rank = np.arange(len(order)) - start[self.d[order]]
             chosen = order[(rank < length[self.d[order]]) & (frequency[order] > 1)]
             out.append(chosen)
-        return out
+        return out, np.bincount(self.d[frequency <= 1], minlength=len(self.ids))
 
 
 def _frequencies(part: pa.Table) -> tuple[np.ndarray, list[bytes]]:
@@ -110,13 +108,13 @@ def _frequencies(part: pa.Table) -> tuple[np.ndarray, list[bytes]]:
     return starts, [chunks.planes(total[a:b], 4) for a, b in zip(starts[:-1], starts[1:])]
 
 
-SETS = "id long, fa long, fb long, n long, p1 array<long>, p2 binary, p3 binary, tokens binary"
+SETS = "id long, fa long, fb long, n long, alone long, p1 array<long>, p2 binary, p3 binary, tokens binary"
 
 
 def shingle_table(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
     """One row per distinct word sequence (smallest id); documents that may have a partner have their sets."""
     buckets = partitions(docs)
-    n_chunks = 2 * buckets
+    n_chunks = buckets
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def packed(batches):
@@ -147,7 +145,7 @@ def shingle_table(docs: DataFrame, id_col: str, text_col: str, shingle: int, per
 
     def filtered(part: pa.Table, replies: pa.Table) -> pa.Table:
         own = _Chunk(part, shingle)
-        orders = own.prefixes(replies, buckets, percent)
+        orders, alone = own.prefixes(replies, buckets, percent)
         ends = [np.searchsorted(own.d[p], np.arange(len(own.ids) + 1)) for p in orders]
         start = np.searchsorted(own.d, np.arange(len(own.ids) + 1))
         live = np.all([np.diff(e) > 0 for e in ends], axis=0)
@@ -159,6 +157,7 @@ def shingle_table(docs: DataFrame, id_col: str, text_col: str, shingle: int, per
                 "fa": pa.array(own.fa),
                 "fb": pa.array(own.fb),
                 "n": pa.array(own.size.astype(np.int64)),
+                "alone": pa.array(alone.astype(np.int64)),
                 "p1": pa.array([signed[orders[0][ends[0][i] : ends[0][i + 1]]] if live[i] else None for i in range(len(live))], pa.list_(pa.int64())),
                 "p2": pa.array([cell(1, i) if live[i] else None for i in range(len(live))], pa.binary()),
                 "p3": pa.array([cell(2, i) if live[i] else None for i in range(len(live))], pa.binary()),
@@ -206,21 +205,25 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     table = written(shingle_table(docs, id_col, text_col, shingle, percent))
     live = table.where("tokens IS NOT NULL")
     sets = live.select("id", "n", "p2", "p3", "tokens")
-    postings = live.select("id", "n", F.explode("p1").alias("token"))
-    shared = postings.groupBy("token").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot <> last").select("token", "pivot")
-    near = written(lookup(postings, shared, ["token"], how="inner"))
-    stars = near.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    postings = live.select("id", "n", "alone", F.posexplode("p1").alias("place", "token"))
+    postings = postings.select("id", "n", (F.col("alone") + F.col("place")).alias("at"), "token")  # tokens of one document alone come first
+    best = postings.groupBy("token").agg(F.min(F.struct((F.col("at") / F.col("n")).alias("early"), "id", "n", "at")).alias("best"), F.count("*").alias("m")).where("m > 1")
+    best = best.select("token", F.col("best.id").alias("pivot"), F.col("best.n").alias("np"), F.col("best.at").alias("atp"))
+    near = written(lookup(postings, best, ["token"], how="inner"))
+    # at their first common token, two sets can share no more than what either has from there on
+    enough = f"{100 + percent} * least({{0}} - {{1}}, {{2}} - {{3}}) >= {percent} * ({{0}} + {{2}})"
+    stars = near.where("id <> pivot").where(enough.format("n", "at", "np", "atp")).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     links = written(_verified(stars, sets, percent))
 
     # what is left: documents that share a token and are not yet in one component
     found = components(links)
-    placed = near.select("token", "id", "n").join(found.withColumnRenamed("node", "id"), "id", "left")
+    placed = near.select("token", "id", "n", "at").join(found.withColumnRenamed("node", "id"), "id", "left")
     placed = written(placed.withColumn("component", F.coalesce("component", "id")))
     sizes = placed.groupBy("token", "component").count()
     most = sizes.groupBy("token").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("m")).where("m > 1")
     apart = lookup(placed, most.select("token", F.col("top.component").alias("major")), ["token"], how="inner")
-    minor = apart.where("component <> major").select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    other = apart.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), (F.col("component") == F.col("major")).alias("is_major"))
+    minor = apart.where("component <> major").select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("ata"), F.col("component").alias("ca"))
+    other = apart.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("atb"), F.col("component").alias("cb"), (F.col("component") == F.col("major")).alias("is_major"))
     crossed = (
         minor.withColumn("_hash", F.hash("token"))
         .join(
@@ -228,7 +231,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             ["token", "_hash"],
         )
         .where("ca <> cb AND (is_major OR a < b)")
-        .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+        .where(enough.format("na", "ata", "nb", "atb"))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
