@@ -115,10 +115,10 @@ def strip_and_join(df: DataFrame, credit_notes: DataFrame, tiebreak: Sequence[st
 
     Its order number carries a leading backtick and no padding; both sides are padded.
     """
-    notes = dedupe_latest(credit_notes, ["order_number"], "ee_extracted_at", tiebreak)
     cleaned = pad_id(clean_id("order_number", strip=("leading_backtick",), null_words=()))
-    notes = notes.select(cleaned.alias("order_number"), "creditnote_number")
-    return df.join(notes, "order_number", "left")
+    notes = credit_notes.withColumn("order_number", cleaned)
+    notes = dedupe_latest(notes, ["order_number"], "ee_extracted_at", tiebreak)
+    return df.join(notes.select("order_number", "creditnote_number"), "order_number", "left")
 
 
 def lead_times(df: DataFrame, start: str, mid: str, end: str, mode: str = "elapsed") -> DataFrame:

@@ -36,7 +36,7 @@ def csv_files(
     """
     files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("recursiveFileLookup", "true")
         .load(path)
         .select("path")
@@ -72,18 +72,19 @@ def csv_folder_scan(
 ) -> list[tuple[str, DataFrame]]:
     """(channel, frame of text columns) per channel and distinct header.
 
-    The header of each entry is taken from its first line; entries without one are skipped.
-    Files with the same header are read together.  Cells may hold line breaks in quotes, so
-    one file is one task.
+    The header of each file is its own first row, read as the rows are; files without one are
+    skipped.  Files with the same header are read together.  Cells may hold line breaks in
+    quotes, so one file is one task.
     """
     def reader():
         return spark.read.option("header", "true").option("escape", '"').option("multiLine", "true")
 
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for (channel, _), files in csv_files(spark, path, patterns).items():
-        header = spark.read.option("header", "true").option("escape", '"').csv(files[0]).columns
-        if header:
-            groups[(channel, *header)].extend(files)
+        for file in files:
+            header = reader().csv(file).columns
+            if header:
+                groups[(channel, *header)].append(file)
     frames = []
     for (channel, *header), files in groups.items():
         schema = StructType([StructField(n, StringType()) for n in normalise_headers(header)])
