@@ -128,8 +128,13 @@ def test_decontamination_finds_what_brute_force_finds(session):
             at = random.randrange(len(text))
             text[at:at] = item
         docs.append((d, " ".join(text).upper() if d % 2 else " ".join(text)))
-    shingles = lambda t: {tuple(words(lower(t))[i : i + 5]) for i in range(len(words(t)) - 4)}
-    wanted = {(d, i) for d, t in docs for i, x in items if x and len(shingles(x) & shingles(t)) >= 0.75 * len(shingles(x))}
+
+    def shingles(text):
+        w = words(lower(text))
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    sets = {i: shingles(x) for i, x in items if x}
+    wanted = {(d, i) for d, s in ((d, shingles(t)) for d, t in docs) for i, x in sets.items() if len(x & s) >= 0.75 * len(x)}
     rows = decontaminate.contained_items(
         session.createDataFrame([*docs, (500, None), (501, "")], DOCS), session.createDataFrame(items, "item_id long, text string"), block_bytes=500
     ).collect()
