@@ -149,8 +149,8 @@ def latest_month(daily: DataFrame, series: Sequence[str] = ("channel",)) -> Data
     return months.join(last, [*series, "month"], "left_semi")
 
 
-def selling_price(daily: DataFrame, by: Sequence[str] = ("brand", "com", "channel")) -> DataFrame:
-    """Average selling price of the latest month."""
+def selling_price(daily: DataFrame, by: Sequence[str] = ("channel",)) -> DataFrame:
+    """Average selling price of the latest month: one per channel, as targets are."""
     units = F.nullif(money_sum("units_sold"), F.lit(0.0))
     return latest_month(daily).groupBy(*by).agg(
         F.try_divide(money_sum("gmv"), units).alias("avg_selling_price")

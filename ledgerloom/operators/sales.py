@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import FINE, money_sum
 from .dedupe import dedupe_any, pick_preferred
+from .joins import lookup
 from .reshape import spread_month
 
 DIMS = [
@@ -160,11 +161,14 @@ def union_channels(parts: Sequence[DataFrame]) -> DataFrame:
 def discounted_sales(
     df: DataFrame, discounts: DataFrame, keys: Sequence[str], cutover: date
 ) -> DataFrame:
-    """``gross_sales`` as reported from ``cutover`` on; before it GMV less the discount."""
+    """``gross_sales`` as reported from ``cutover`` on; before it GMV less the discount.
+
+    Of several discounts for the same keys the largest counts.
+    """
     early = F.col("gmv") * (F.lit(1) - F.coalesce("_discount", F.lit(0.0)))
-    card = discounts.select(*keys, F.col("discount").alias("_discount"))
+    card = discounts.groupBy(*keys).agg(F.max("discount").alias("_discount"))
     return (
-        df.join(card, list(keys), "left")
+        lookup(df, card, list(keys))
         .withColumn(
             "gross_sales",
             F.when(F.col("order_date") >= F.lit(cutover), F.col("gross_sale")).otherwise(early),

@@ -42,11 +42,8 @@ def tracking_report(
     base = t.to_local(base, t.LOCAL_COLUMNS, zone)
 
     newest = dedupe_latest(padded(shipping), ["order_id"], "ingestion_date", tiebreak)
-    ship = t.concat_distinct(
-        newest,
-        ["order_id", "courier_partner", "carrier_via_aggregator", "clickpost_unified_status"],
-        "awb",
-    )
+    newest = newest.select("order_id", "courier_partner", "carrier_via_aggregator", "clickpost_unified_status")
+    ship = newest.join(t.concat_distinct(padded(shipping), ["order_id"], "awb"), "order_id", "left")
     om = dedupe_latest(padded(orders), ["order_id"], "ingestion_date", tiebreak)
     om = om.where(F.col("order_date") > F.lit(since))
     om = t.enrich_place(om, places, "drop_pincode", "pincode", ["state", "main_city"], ["main_city", "state"])
@@ -93,7 +90,7 @@ def tracking_report(
         "alert_1_vs_2", "alert", "o2s_bucket", "o2s_bucket_sort", "wh_name", "pickup_pincode",
         "city_pickup", "state_pickup", "sla_breach", "multiple_awb_tag",
     ]
-    return d.select(*columns).distinct()
+    return d.select(*columns)
 
 
 def warehouse_report(

@@ -194,7 +194,7 @@ def chain(rolled: str, targeted: str) -> dict[str, str]:
             UNION ALL SELECT month, 'fair', CAST(t_fair AS DOUBLE) FROM in_channel_targets) WHERE monthly_target IS NOT NULL""",
         "latest": """SELECT t.*, m.month FROM tgt t JOIN (SELECT channel, max(date_trunc('month', order_date)) AS month FROM tgt GROUP BY 1) m
             ON t.channel = m.channel AND date_trunc('month', t.order_date) = m.month""",
-        "asp": f"""SELECT brand, com, channel, {total('gmv')} / nullif({total('units_sold')}, 0) AS price FROM latest GROUP BY ALL""",
+        "asp": f"""SELECT channel, {total('gmv')} / nullif({total('units_sold')}, 0) AS price FROM latest GROUP BY ALL""",
         "day_targets": """SELECT t.channel, month, monthly_target, CAST(day(last_day(month)) AS BIGINT) AS days_in_month,
               monthly_target / day(last_day(month)) AS daily_target,
               monthly_target / day(last_day(month)) / nullif(price, 0) AS daily_units_target
