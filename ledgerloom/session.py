@@ -61,9 +61,11 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a test on one machine) gets a temporary folder.
+    Without that setting a session of one machine gets a temporary folder, and a cluster an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="ledgerloom-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -54,7 +54,8 @@ def test_guarded_mapping_does_not_fan_out(spark):
 def test_discount_before_and_from_the_cutover(spark):
     rows = [(date(2025, 12, 31), "1", 100.0, 70.0), (date(2026, 1, 1), "1", 100.0, 70.0), (date(2025, 12, 31), "2", 100.0, 70.0)]
     df = spark.createDataFrame(rows, "order_date date, item string, gmv double, gross_sale double")
-    card = spark.createDataFrame([(date(2025, 12, 31), "1", 0.25)], "order_date date, item string, discount double")
+    discounts = [(date(2025, 12, 31), "1", 0.25), (date(2025, 12, 31), "1", 0.125)]  # repeated keys multiply no line
+    card = spark.createDataFrame(discounts, "order_date date, item string, discount double")
     got = sales.discounted_sales(df, card, ["order_date", "item"], ch.DISCOUNT_CUTOVER).collect()
     assert sorted(r.gross_sales for r in got) == [70.0, 75.0, 100.0]
 
@@ -129,3 +130,11 @@ def test_shares_sum_to_one(spark):
     assert len(got) == 3
     assert sum(r.sku_contribution_pct for r in got) == pytest.approx(1)
     assert sum(r.sku_units_contribution_pct for r in got) == pytest.approx(1)
+
+
+def test_one_price_and_target_per_channel(spark):
+    rows = [("b", c, "x", date(2024, 1, 5), g, 1.0) for c, g in (("c1", 10.0), ("c2", 30.0))]
+    daily = spark.createDataFrame(rows, "brand string, com string, channel string, order_date date, gmv double, units_sold double")
+    targets = spark.createDataFrame([("x", date(2024, 1, 1), 310.0)], "channel string, month date, monthly_target double")
+    got = projection.daily_target(targets, projection.selling_price(daily)).collect()
+    assert [(r.daily_target, r.daily_units_target) for r in got] == [(10.0, 0.5)]

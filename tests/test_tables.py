@@ -43,6 +43,17 @@ def test_shared_folder_is_the_one_the_cluster_names(spark, tmp_path):
     assert a != b and a.startswith(str(tmp_path)) and b.startswith(str(tmp_path))
 
 
+def test_a_cluster_must_name_the_shared_folder():
+    class Session:
+        conf = {}
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError):
+        shared_folder(Session())
+
+
 def test_headers():
     assert c.normalise_headers([" Open  Rate ", "a-b/c,d(e)", "x__y", "x___y"]) == ["open_rate", "a_b_c_d_e_", "x_y", "x__y"]
     with pytest.raises(ValueError):
