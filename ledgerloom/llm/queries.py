@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_format, decontaminate, html_extract, jaccard_join, license_scan, line_dedup, packing, quality_rules, substring_dedup, toxicity
+from .oracle import ORACLE  # noqa: F401
 from .store import prepared, written
 
 
@@ -104,4 +105,3 @@ _OPERATORS = [
     op6_packing, op7_toxicity, op8_chat_formatting, op9_line_dedup, op10_quality_rules,
 ]
 QUERIES = {fn.__name__: (lambda spark, sf_dir, fn=fn: fn(prepared(spark), sf_dir)) for fn in _OPERATORS}
-ORACLE: dict[str, str] = {}
