@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import hashing
-from .store import written
+from .store import fresh, written
 
 SHINGLE = 5
 CONTAINMENT = 0.75
@@ -143,6 +144,7 @@ def contained_items(
     """
     own = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("_text"))
     other = benchmark.schema[item_id].dataType
+    item_type = to_arrow_type(other)
     name = item_id if item_id != id_col else f"item_{item_id}"
     schema = own.select(id_col).schema.add(name, other).add("n_shared", "long").add("n_item", "long").add("containment", "double")
     arrow = None
@@ -160,7 +162,7 @@ def contained_items(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(at),
-                        pa.array([items.ids[i] for _, i, _ in hits]) if hits else pa.array([], pa.int64()),
+                        pa.array([items.ids[i] for _, i, _ in hits], item_type),
                         pa.array(shared),
                         pa.array(size),
                         pa.array(shared / np.maximum(size, 1)),
@@ -175,6 +177,7 @@ def contained_items(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows whose id contains an item; rows with a NULL id stay."""
-    found = written(contained_items(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias("_found")).distinct())
-    return docs.join(found, docs[id_col] == F.col("_found"), "left_anti")
+    """``docs`` without the rows whose id contains an item; rows with a NULL id stay, all columns stay."""
+    name = fresh(docs, "_found")
+    found = written(contained_items(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias(name)).distinct())
+    return docs.join(found, docs[id_col] == F.col(name), "left_anti")
