@@ -11,20 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, jaccard_join, line_dedup, packing, toxicity
-from ledgerloom.llm.store import prepared, written
+from ledgerloom.llm.store import fresh, prepared, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepared(spark)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).drop("toxicity")
+    name = fresh(docs, "toxicity")
+    return toxicity.score(docs, model, out=name).where(F.col(name) < toxicity.THRESHOLD).drop(name)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document that loses every line it had goes; ``n_chars`` follows the text."""
     prepared(spark)
-    out = line_dedup.dedup_lines(docs).where("n_lines_removed = 0 OR length(trim(text)) > 0").drop("n_lines_removed")
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    lost = fresh(docs, "n_lines_removed")
+    left = line_dedup.dedup_lines(docs, out=lost).where((F.col(lost) == 0) | (F.length(line_dedup.normal(F.col("text"))) > 0))
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.col(lost) == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
+        left = left.withColumn("n_chars", n_chars)
+    return left.drop(lost)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,13 +22,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup
 from . import chunks, hashing
 from .components import components
-from .store import partitions, written
+from .store import fresh, partitions, written
 
 SHINGLE = 5
 PERCENT = 75  # similarity of a link
@@ -263,7 +263,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with the row of the smallest id of every component; rows with a NULL id stay."""
-    groups = similar_documents(docs, id_col, text_col, shingle, percent)
-    extra = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_extra")).distinct()
-    return docs.join(extra, docs[id_col] == F.col("_extra"), "left_anti")
+    """``docs`` with one row of every component: that of the smallest id, and of rows that repeat this id
+    the one with the least text.  Rows with a NULL id stay, all columns stay.
+    """
+    groups = written(similar_documents(docs, id_col, text_col, shingle, percent).where(F.col(id_col).isNotNull()))
+    name, place = fresh(docs, "_extra"), fresh(docs, "_place")
+    ids = groups.groupBy(id_col).agg(F.min("component_id").alias("least"), F.count("*").alias("m"))
+    other = ids.where((F.col("m") > 1) | (F.col(id_col) != F.col("least"))).select(F.col(id_col).alias(name))
+    again = ids.where((F.col("m") > 1) & (F.col(id_col) == F.col("least"))).select(F.col(id_col).alias(name))
+    single = docs.join(other, docs[id_col] == F.col(name), "left_anti")
+    repeated = docs.join(again, docs[id_col] == F.col(name), "left_semi")
+    first = repeated.withColumn(place, F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))).where(F.col(place) == 1)
+    return single.unionByName(first.drop(place))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup
-from .store import written
+from .store import fresh, written
 
 SEGMENTS = 16
 FILTER_BITS = 1 << 24
@@ -175,23 +175,26 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_near_chars: int = MIN_NEAR_CHARS) -> DataFrame:
-    """``docs`` with the repeated lines taken out of the text, and ``n_lines_removed``.
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_near_chars: int = MIN_NEAR_CHARS, out: str = "n_lines_removed"
+) -> DataFrame:
+    """``docs`` with the repeated lines taken out of the text, and their number in the column ``out``.
 
     Lines without a character other than white space stay.  A NULL text stays NULL and a row with a
     NULL id is returned as it is and makes no line repeated.  Rows that repeat an id share the fate
-    of a line at one position: ids are expected to be unique.  Other columns stay as they are; no
-    rows give no rows.
+    of a line at one position: ids are expected to be unique.  A column called
+    like ``out`` is replaced, other columns stay as they are; no rows give no rows.
     """
-    gone = repeated_lines(docs, id_col, text_col, min_near_chars).groupBy("id").agg(F.collect_set("pos").alias("_gone"))
-    joined = docs.join(gone.withColumnRenamed("id", "_id"), docs[id_col] == F.col("_id"), "left")
+    gone = repeated_lines(docs, id_col, text_col, min_near_chars).groupBy("id").agg(F.collect_set("pos").alias("gone"))
+    own, lost = fresh(docs, "_id"), fresh(docs, "_gone")
+    joined = docs.join(gone.select(F.col("id").alias(own), F.col("gone").alias(lost)), docs[id_col] == F.col(own), "left")
 
     def rest(every: Column) -> Column:
-        places = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("_gone"))
+        places = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(lost))
         return F.array_join(F.transform(places, lambda i: F.element_at(every, i + 1)), "\n")
 
     kept = F.transform(F.array(F.split(F.col(text_col), "\n")), rest)[0]  # the split is done once
     return joined.select(
-        *[F.when(F.col("_gone").isNull(), docs[c]).otherwise(kept).alias(c) if c == text_col else docs[c] for c in docs.columns],
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_lines_removed"),
+        *[F.when(F.col(lost).isNull(), docs[c]).otherwise(kept).alias(c) if c == text_col else docs[c] for c in docs.columns if c != out],
+        F.coalesce(F.size(lost), F.lit(0)).cast("long").alias(out),
     )

@@ -20,6 +20,14 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def partitions(df: DataFrame) -> int:
     """The session's number of shuffle partitions, which follows the size of the data."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
