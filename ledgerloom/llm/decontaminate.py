@@ -1,11 +1,14 @@
-"""Benchmark decontamination: size-partitioned MinHash containment search.
+"""Benchmark decontamination: size-partitioned MinHash containment search, exact for short items.
 
 Documents are partitioned by the number of their distinct shingles (powers of two).  A document's
 shingles are dealt over the bins of its partition and each bin keeps its least hash (one-permutation
-MinHash).  Larger partitions have more bins, so that an item of :data:`MIN_ITEM` shingles or more
-that is contained to the threshold shares a bin's least hash with the document with a probability of
-at least ``recall``.  Documents that share one with an item are candidates; the exact share of the
-item's shingles that the document contains decides.
+MinHash).  Larger partitions have more bins, as many as an item of :data:`MIN_ITEM` shingles needs,
+so that an item of :data:`EXACT_BELOW` shingles or more that is contained to the threshold shares a
+bin's least hash with the document with a probability of at least ``recall``.  Few shingles leave too
+much to chance: a shorter item is looked up by so many of its shingles, the rarest of its block, that
+a document that contains it to the threshold has at least one of them.  Documents that share a
+least hash or a looked up shingle with an item are candidates; the exact share of the item's shingles
+that the document contains decides.
 
 The benchmark is worked off in blocks of bounded size, each sent to the workers as it is; documents
 are never moved.
@@ -29,6 +32,7 @@ SHINGLE = 5
 CONTAINMENT = 0.75
 RECALL = 0.999
 MIN_ITEM = 8
+EXACT_BELOW = 32  # shingles of an item; shorter ones are looked up without MinHash
 BLOCK_BYTES = 32 << 20  # of benchmark text that is sent to the workers at once
 _U = np.uint64
 _NONE = np.iinfo(np.uint64).max
@@ -38,7 +42,7 @@ def bins(partition: int, containment: float = CONTAINMENT, recall: float = RECAL
     """Bins for documents of ``2**partition .. 2**(partition + 1) - 1`` shingles."""
     largest = (2 << partition) - 1
     jaccard = containment * item / (largest + item * (1 - containment))
-    return 1 if jaccard >= 1 else max(1, min(largest, math.ceil(math.log(1 - recall) / math.log(1 - min(jaccard, 0.999999)))))
+    return 1 if jaccard >= 1 else max(1, math.ceil(math.log(1 - recall) / math.log(1 - min(jaccard, 0.999999))))
 
 
 def _bin(h: np.ndarray, n: np.ndarray | int) -> np.ndarray:
@@ -56,6 +60,12 @@ def _least(h: np.ndarray, owner: np.ndarray, n_bins: np.ndarray) -> tuple[np.nda
     return np.searchsorted(offset, full, side="right") - 1, least[full]
 
 
+def _meet(known: np.ndarray, whose: np.ndarray, h: np.ndarray, owner: np.ndarray) -> set[tuple[int, int]]:
+    """(owner, item) of equal hashes; ``known`` is sorted."""
+    lo, hi = np.searchsorted(known, h, side="left"), np.searchsorted(known, h, side="right")
+    return {(int(owner[k]), int(i)) for k in np.flatnonzero(hi > lo) for i in whose[lo[k] : hi[k]]}
+
+
 class Items:
     """A block of benchmark items, ready for search."""
 
@@ -69,19 +79,44 @@ class Items:
         self.hash = np.concatenate(h) if h else np.zeros(0, np.uint64)
         self.item = np.concatenate(d) if d else np.zeros(0, np.int64)
         self.size = np.bincount(self.item, minlength=len(ids))
-        order = np.argsort(self.hash, kind="stable")
-        self.by_hash, self.by_hash_item = self.hash[order], self.item[order]
+        self.start = np.searchsorted(self.item, np.arange(len(ids) + 1))
+        self.short, self.short_item = self._rarest()
+        self.long = np.flatnonzero(self.size >= EXACT_BELOW)
         self._signatures: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
+    def _rarest(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted shingles of the short items that one of must be in a text that contains the item, and whose they are."""
+        _, which, count = np.unique(self.hash, return_inverse=True, return_counts=True)
+        order = np.lexsort((self.hash, count[which], self.item))
+        item = self.item[order]
+        needed = np.ceil(self.containment * self.size)
+        first = np.arange(len(order)) - self.start[item] <= (self.size - needed)[item]
+        keep = order[first & (self.size[item] < EXACT_BELOW)]
+        keep = keep[np.argsort(self.hash[keep], kind="stable")]
+        return self.hash[keep], self.item[keep]
+
     def signature(self, partition: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted least hashes of the items under the bins of a partition, and whose they are."""
+        """Sorted least hashes of the long items under the bins of a partition, and whose they are."""
         if partition not in self._signatures:
             n = bins(partition, self.containment, self.recall)
-            item, least = _least(self.hash, self.item, np.full(len(self.ids), n))
+            own = self.size[self.item] >= EXACT_BELOW
+            place, least = _least(self.hash[own], np.searchsorted(self.long, self.item[own]), np.full(len(self.long), n))
             order = np.argsort(least, kind="stable")
-            self._signatures[partition] = least[order], item[order]
+            self._signatures[partition] = least[order], self.long[place[order]]
         return self._signatures[partition]
 
+    def _candidates(self, h: np.ndarray, doc: np.ndarray, n_docs: int) -> set[tuple[int, int]]:
+        """(text, item) pairs that share a looked up shingle or a bin's least hash."""
+        found = _meet(self.short, self.short_item, h, doc)
+        if len(self.long):
+            partition = np.frexp(np.maximum(np.bincount(doc, minlength=n_docs), 1))[1] - 1
+            n_bins = np.array([bins(int(p), self.containment, self.recall) for p in range(int(partition.max()) + 1)])
+            owner, least = _least(h, doc, n_bins[partition])
+            for p in np.unique(partition):
+                own = partition[owner] == p
+                found |= _meet(*self.signature(int(p)), least[own], owner[own])
+        return found
+
     def search(self, texts) -> list[tuple[int, int, int]]:
         """(text, item, shared shingles) of the contained items."""
         out = []
@@ -89,23 +124,13 @@ class Items:
             h, doc = hashing.shingle_sets(w, SHINGLE)
             if not len(h) or not len(self.hash):
                 continue
-            size = np.bincount(doc, minlength=w.n_docs)
-            partition = np.frexp(np.maximum(size, 1))[1] - 1
-            n_bins = np.array([bins(int(p), self.containment, self.recall) for p in range(int(partition.max()) + 1)])
-            owner, least = _least(h, doc, n_bins[partition])
             start = np.searchsorted(doc, np.arange(w.n_docs + 1))
-            for p in np.unique(partition):
-                known, whose = self.signature(int(p))
-                own = partition[owner] == p
-                lo = np.searchsorted(known, least[own], side="left")
-                hi = np.searchsorted(known, least[own], side="right")
-                hit = np.flatnonzero(hi > lo)
-                found = {(int(owner[own][k]), int(i)) for k in hit for i in whose[lo[k] : hi[k]]}
-                for d, i in sorted(found):
-                    mine = self.hash[self.item == i]
-                    shared = int(np.isin(mine, h[start[d] : start[d + 1]], assume_unique=True).sum())
-                    if shared >= self.containment * self.size[i]:
-                        out.append((w.first + d, i, shared))
+            for d, i in sorted(self._candidates(h, doc, w.n_docs)):
+                mine, own = self.hash[self.start[i] : self.start[i + 1]], h[start[d] : start[d + 1]]
+                at = np.minimum(np.searchsorted(own, mine), len(own) - 1)
+                shared = int((own[at] == mine).sum())
+                if shared >= self.containment * self.size[i]:
+                    out.append((w.first + d, i, shared))
         return out
 
 

@@ -142,6 +142,25 @@ def test_decontamination_finds_what_brute_force_finds(session):
     assert got <= wanted and len(wanted) > 20 and len(got) >= 0.9 * len(wanted)
 
 
+@pytest.mark.parametrize("n_shingles", [1, 2, 3, 8, 9, 31, 32, 60])
+def test_decontamination_by_item_size(n_shingles):
+    """Documents at the top of their partition, items contained just to the threshold."""
+    import math
+
+    import pyarrow as pa
+
+    items = [" ".join(f"i{k}w{j}" for j in range(n_shingles + 4)) for k in range(200)]
+    shared = math.ceil(0.75 * n_shingles)
+    search = decontaminate.Items(list(range(200)), items, 0.75, 0.999)
+    docs = []
+    for k, item in enumerate(items):
+        held = item.split()[: shared + 4]
+        held += [f"d{k}w{j}" for j in range(511 + 4 - len(held))]
+        docs.append(" ".join(held))
+    want = [(k, k, shared) for k in range(200)]
+    assert search.search(pa.array(docs)) == want
+
+
 def test_packing(session):
     assert packing.boundaries({1: 5, 2: 1, 9: 3, 10: 2}, 2) == [2, 10]
     assert packing.boundaries({}, 3) == []
