@@ -256,6 +256,39 @@ def test_licenses(session):
     assert all(r.bytes_saved > 0 and not r.missing for r in rows)
 
 
+MIT_TEXT = """Copyright (c) 2020 Jane Roe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the
+Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+
+
+@pytest.mark.parametrize("sign", ["", " * ", "# ", "// "])
+def test_licenses_of_several_paragraphs(sign):
+    known = license_scan.Templates(license_scan.TEMPLATES)
+    for text, first, n, name in ((MIT_TEXT, 2, 10, "MIT"), (BSD_TEXT, 0, 9, "BSD-2-Clause")):
+        rows = known.scan("int a;\n" + "\n".join((sign + line).rstrip() for line in text.split("\n")) + "\nint b;")
+        assert [r[:3] for r in rows] == [(first + 1, n, name)] and rows[0][3] > 0
+
+
 def test_empty_tables(session):
     empty = session.createDataFrame([], DOCS)
     labels = session.createDataFrame([], "doc_id long, toxic int, quality int")
