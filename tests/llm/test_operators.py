@@ -289,6 +289,16 @@ def test_licenses_of_several_paragraphs(sign):
         assert [r[:3] for r in rows] == [(first + 1, n, name)] and rows[0][3] > 0
 
 
+def test_several_licenses_of_one_line():
+    known, mit, bsd = license_scan.Templates(license_scan.TEMPLATES), *(" ".join(t.split()) for t in (MIT_TEXT, BSD_TEXT))
+    notices = {name: text for name, text in license_scan.TEMPLATES if len(license_scan.wording(text)) < 10}
+    for name, notice in notices.items():
+        for line in (f"{mit} {bsd} {notice}", f"{notice} {mit} {bsd}"):
+            assert sorted(r[2] for r in known.scan(line)) == sorted(["MIT", "BSD-2-Clause", name])
+    both = "Licensed under the MIT License. Licensed under the Apache License, Version 2.0."
+    assert [r[2] for r in known.scan(both)] == ["MIT", "Apache-2.0"]
+
+
 def test_empty_tables(session):
     empty = session.createDataFrame([], DOCS)
     labels = session.createDataFrame([], "doc_id long, toxic int, quality int")
