@@ -299,6 +299,18 @@ def test_several_licenses_of_one_line():
     assert [r[2] for r in known.scan(both)] == ["MIT", "Apache-2.0"]
 
 
+@pytest.mark.parametrize("holder", ["the copyright holder", "Roe and Sons"])
+def test_bsd_licenses_differ_by_the_third_clause(holder):
+    known = license_scan.Templates(license_scan.TEMPLATES)
+    third = f"""3. Neither the name of {holder} nor the names of its contributors may be
+   used to endorse or promote products derived from this software without
+   specific prior written permission."""
+    text = f"{BSD_TEXT}\n\n{third}\n"
+    for x, n in ((text, 13), (" ".join(text.split()), 1)):
+        assert [r[:3] for r in known.scan(x)] == [(0, n, "BSD-3-Clause")]
+    assert [r[2] for r in known.scan(BSD_TEXT)] == ["BSD-2-Clause"]
+
+
 def test_empty_tables(session):
     empty = session.createDataFrame([], DOCS)
     labels = session.createDataFrame([], "doc_id long, toxic int, quality int")
