@@ -249,6 +249,24 @@ def test_toxicity_held_out(session):
     assert toxicity.train(df, lab.where("toxic = 0")).weights == (0.0, 0.0)
 
 
+def test_toxicity_tells_words_apart(session):
+    """Words that no class knows score alike, however many there are and whatever their hashes."""
+    import pyarrow as pa
+
+    random.seed(3)
+    common, rude = [f"w{i}" for i in range(300)], ["vile", "rotten", "dreck"]
+    docs = [(i, " ".join(random.choice(rude if i % 2 and random.random() < 0.3 else common) for _ in range(80))) for i in range(400)]
+    model = toxicity.train(session.createDataFrame(docs, DOCS), session.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int"))
+    clash = {next(hashing.words(pa.array([x]), hashing.LETTERS)).hash[0] % 2**20 for x in rude}
+    other, n = None, 0
+    for w in hashing.words(pa.array([f"u{i}" for i in range(3_000_000)]), hashing.LETTERS):
+        hit = [i for i in range(len(w.hash)) if w.hash[i] % 2**20 in clash] if other is None else []
+        other, n = (f"u{w.first + hit[0]}", n + 1) if hit else (other, n)
+    assert n == 1
+    x = model.ratios(pa.array(["vile", other, "unseen"]))
+    assert x[0, 1] > 0 and x[1].tolist() == x[2].tolist() and x[1, 1] == 0
+
+
 def test_licenses(session):
     text = "Intro here.\nLicensed under CC BY-NC 4.0.\nMore.\nThis work is licensed under the GNU General Public License, version 3.\nmy driving licence"
     rows = license_scan.scan_licenses(session.createDataFrame([(1, text), (2, None), (3, "")], DOCS)).orderBy("line").collect()
