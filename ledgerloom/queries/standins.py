@@ -187,6 +187,14 @@ def oracle(sql: str) -> str:
         return sql.strip()
     ctes = ",\n".join(f"{n} AS ({re.sub(r'[{](\w+)[}]', r'\1', STANDINS[n]).strip()})" for n in order)
     body = sql.strip()
-    if body[:5].upper() == "WITH ":
-        return f"WITH {ctes},\n{body[5:]}"
-    return f"WITH {ctes}\n{body}"
+    text = f"WITH {ctes},\n{body[5:]}" if body[:5].upper() == "WITH " else f"WITH {ctes}\n{body}"
+    _unique_steps(text)
+    return text
+
+
+def _unique_steps(sql: str) -> None:
+    """Raise if two steps of the top-level WITH list share a name (DuckDB refuses them only when run)."""
+    names = re.findall(r"(?:^WITH\s+|,\s*\n?\s*)(\w+)\s+AS\s+\(", sql, flags=re.IGNORECASE)
+    repeated = sorted({n for n in names if names.count(n) > 1})
+    if repeated:
+        raise ValueError(f"repeated step names in the SQL: {', '.join(repeated)}")
