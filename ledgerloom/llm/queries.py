@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, html_extract, jaccard_join, license_scan, line_dedup, packing, quality_rules, substring_dedup, toxicity
+from . import (
+    chat_format, decontaminate, html_extract, jaccard_join, license_scan, line_dedup, packing, periodic_runs, quality_rules,
+    substring_dedup, toxicity,
+)
 from .oracle import ORACLE  # noqa: F401
 from .store import prepared, written
 
@@ -100,8 +103,45 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_tail(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the words of each text with a periodic tail where crc32 of the decimal id ends in 0.
+
+    With h = crc32(id), g = h div 10, n words and h mod 10 = 0: word i >= a becomes word a + (i - a) mod p,
+    where a = g mod n and p = 1 + (n - a) div (3 + g mod 8).  The words are joined by one space.
+    """
+    ws = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    step = docs.select("doc_id", ws.alias("ws"), F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    step = step.select("doc_id", "ws", "h", F.floor(F.col("h") / 10).alias("g"), F.size("ws").alias("n"))
+    step = step.select("*", F.pmod("g", F.greatest("n", F.lit(1))).alias("a"))
+    step = step.select("*", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.pmod("g", F.lit(8))))).alias("p"))
+    a, p = F.col("a"), F.col("p")
+    tail = F.transform("ws", lambda w, i: F.when(i >= a, F.element_at("ws", (a + F.pmod(i - a, p) + 1).cast("int"))).otherwise(w))
+    planted = F.when((F.pmod("h", F.lit(10)) == 0) & (F.col("n") > 0), tail).otherwise(F.col("ws"))
+    return step.select("doc_id", F.array_join(planted, " ").alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document (with planted periodic tails), the longest run, and digests of runs and kept words."""
+    docs = planted_tail(table(spark, sf_dir, "documents"))
+    found = periodic_runs.periodic_runs(docs)
+    by_length = F.sort_array(F.transform("runs", lambda r: F.struct((-r["length"]).alias("k"), r["start"].alias("s"), r["period"].alias("p"))))
+    best = F.try_element_at(by_length, F.lit(1))
+    by_start = F.sort_array(F.transform("runs", lambda r: F.struct(r["start"].alias("s"), r["period"].alias("p"), r["length"].alias("l"))))
+    listed = F.array_join(F.transform(by_start, lambda r: F.concat(F.concat_ws(",", r["s"], r["l"], r["p"]), F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["s"].alias("start"),
+        (-best["k"]).alias("length"),
+        best["p"].alias("period"),
+        F.floor(-best["k"] * 1000 / best["p"]).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 _OPERATORS = [
     op1_license_scan, op2_substring_dedup, op3_html_extraction, op4_jaccard_join, op5_decontamination,
-    op6_packing, op7_toxicity, op8_chat_formatting, op9_line_dedup, op10_quality_rules,
+    op6_packing, op7_toxicity, op8_chat_formatting, op9_line_dedup, op10_quality_rules, op13_periodic_runs,
 ]
 QUERIES = {fn.__name__: (lambda spark, sf_dir, fn=fn: fn(prepared(spark), sf_dir)) for fn in _OPERATORS}
