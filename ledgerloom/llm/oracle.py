@@ -57,6 +57,27 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN roots ON x = doc_id
 """
 
+NEAR_DEDUP = f"""
+WITH RECURSIVE shingles AS ({_shingles("documents", "doc_id", _LOWER, _WORD)}),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both
+  FROM shingles a JOIN shingles b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+  WHERE 100 * n_both >= 85 * (s.n + t.n - n_both)
+),
+reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+),
+roots AS (SELECT x, min(y) AS component_id FROM reached GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN roots ON x = doc_id
+"""
+
 DECONTAMINATION = f"""
 WITH own AS ({_shingles("documents", "doc_id", _LOWER, _LETTERS)}),
 items AS ({_shingles("benchmark", "item_id", _LOWER, _LETTERS)}),
@@ -135,6 +156,7 @@ FROM documents LEFT JOIN rest USING (doc_id)
 ORACLE = {
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op4_jaccard_join": JACCARD_JOIN,
+    "op11_near_dedup": NEAR_DEDUP,
     "op5_decontamination": DECONTAMINATION,
     "op8_chat_formatting": CHAT_FORMATTING,
     "op9_line_dedup": LINE_DEDUP,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat_format, decontaminate, html_extract, jaccard_join, license_scan, line_dedup, packing, periodic_runs, quality_rules,
+    chat_format, decontaminate, html_extract, jaccard_join, license_scan, line_dedup, minhash_forest, packing, periodic_runs, quality_rules,
     substring_dedup, toxicity,
 )
 from .oracle import ORACLE  # noqa: F401
@@ -103,6 +103,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near copies (Jaccard of 5-word shingles at least 0.85)."""
+    return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def planted_tail(docs: DataFrame) -> DataFrame:
     """(doc_id, text): the words of each text with a periodic tail where crc32 of the decimal id ends in 0.
 
@@ -142,6 +147,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _OPERATORS = [
     op1_license_scan, op2_substring_dedup, op3_html_extraction, op4_jaccard_join, op5_decontamination,
-    op6_packing, op7_toxicity, op8_chat_formatting, op9_line_dedup, op10_quality_rules, op13_periodic_runs,
+    op6_packing, op7_toxicity, op8_chat_formatting, op9_line_dedup, op10_quality_rules, op11_near_dedup,
+    op13_periodic_runs,
 ]
 QUERIES = {fn.__name__: (lambda spark, sf_dir, fn=fn: fn(prepared(spark), sf_dir)) for fn in _OPERATORS}
