@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat_format, decontaminate, html_extract, jaccard_join, license_scan, line_dedup, minhash_forest, packing, periodic_runs, quality_rules,
+    chat_format, decontaminate, html_extract, jaccard_join, license_scan, line_dedup, minhash_forest, packing, periodic_runs,
+    token_alignment, quality_rules,
     substring_dedup, toxicity,
 )
 from .oracle import ORACLE  # noqa: F401
@@ -108,6 +109,22 @@ def op11_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+TOKENIZER_A = "byte_bpe_50k.json"
+TOKENIZER_B = "piece_bpe_32k.model"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's byte-level BPE and sentencepiece tokens aligned into groups, with corpus link counts."""
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.align(docs, tokenizer_path(TOKENIZER_A), tokenizer_path(TOKENIZER_B))
+
+
 def planted_tail(docs: DataFrame) -> DataFrame:
     """(doc_id, text): the words of each text with a periodic tail where crc32 of the decimal id ends in 0.
 
@@ -148,6 +165,6 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OPERATORS = [
     op1_license_scan, op2_substring_dedup, op3_html_extraction, op4_jaccard_join, op5_decontamination,
     op6_packing, op7_toxicity, op8_chat_formatting, op9_line_dedup, op10_quality_rules, op11_near_dedup,
-    op13_periodic_runs,
+    op12_token_alignment, op13_periodic_runs,
 ]
 QUERIES = {fn.__name__: (lambda spark, sf_dir, fn=fn: fn(prepared(spark), sf_dir)) for fn in _OPERATORS}
