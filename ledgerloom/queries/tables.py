@@ -3,17 +3,20 @@
 Queries that write use a fresh path in the cluster's shared folder.
 """
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 from ..plans.campaigns import campaign_ingest as ingest
 from ..session import shared_folder
+from ..sources import catalog as k
 from ..sources import csv_folder as c
 from ..sources import tables as w
 from .standins import oracle, register, table
 
 MARK = date(2000, 1, 1)
+SPLIT = date(1995, 6, 30)
 NOW = datetime(2024, 2, 1, 8, 0)
 
 register(
@@ -32,26 +35,47 @@ RUN_KEYS = ["product_id", "sku_id", "order_date", "category"]
 RUN_TIES = ["gross_units", "gmv"]
 
 
+RUN_COLUMNS = ["product_id", "sku_id", "order_date", "category", "gross_units", "gmv"]
+
+
+def named(prefix: str) -> str:
+    """A table name of its own for each call."""
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
 def table_replace(spark, sf):
-    path = shared_folder(spark)
-    w.table_replace(table(spark, sf, "customer"), path)
-    w.table_replace(table(spark, sf, "supplier"), path)
-    return w.read_table(spark, path)
+    """A named table written twice; the second content replaces the first."""
+    name = named("replaced")
+    k.write_table(table(spark, sf, "customer"), name)
+    k.write_table(table(spark, sf, "supplier"), name)
+    return spark.table(name)
 
 
 def first_build(spark, sf):
-    path = shared_folder(spark)
-    w.first_build(table(spark, sf, "in_runs"), path, RUN_KEYS, "runid", RUN_TIES)
-    return w.read_table(spark, path)
+    name = named("runs")
+    k.first_build(table(spark, sf, "in_runs"), name, RUN_KEYS, "order_date", "runid", RUN_TIES)
+    return spark.table(name).select(*RUN_COLUMNS)
+
+
+def _append_runs(spark, sf, split):
+    """A first build up to ``split``; a run of the whole feed that breaks off after staging and is run
+    again; the same run once more; a second run with nothing new."""
+    name, runs = named("runs"), table(spark, sf, "in_runs")
+    k.first_build(runs.where(F.col("order_date") <= F.lit(split)), name, RUN_KEYS, "order_date", "runid", RUN_TIES)
+    states = [
+        k.staged_append(runs, name, run, RUN_KEYS, "order_date", "runid", RUN_TIES, floor=MARK, commit=commit)
+        for run, commit in (("run-1", False), ("run-1", True), ("run-1", True), ("run-2", True))
+    ]
+    assert states == ["staged", "committed", "unchanged", "committed"], states
+    return spark.table(name).select(*RUN_COLUMNS)
 
 
 def incremental_append(spark, sf):
-    """A first build up to a day, then two appends of the whole feed, the second one empty."""
-    path, runs = shared_folder(spark), table(spark, sf, "in_runs")
-    w.first_build(runs.where(F.col("order_date") <= F.lit(MARK)), path, RUN_KEYS, "runid", RUN_TIES)
-    for _ in range(2):
-        w.incremental_append(runs, path, RUN_KEYS, "order_date", "runid", RUN_TIES)
-    return w.read_table(spark, path)
+    return _append_runs(spark, sf, MARK)
+
+
+def staged_append(spark, sf):
+    return _append_runs(spark, sf, SPLIT)
 
 
 def append_evolve(spark, sf):
@@ -111,6 +135,7 @@ QUERIES = {
     "table_replace": table_replace,
     "first_build": first_build,
     "incremental_append": incremental_append,
+    "staged_append": staged_append,
     "append_evolve": append_evolve,
     "concat_by_name": concat_by_name,
     "align_schema": align_schema,
@@ -137,6 +162,10 @@ ORACLE = {
         WITH old AS ({_runs('ASC', "order_date <= DATE '2000-01-01'")})
         SELECT * FROM old UNION ALL
         SELECT DISTINCT * FROM ({_runs('DESC', "order_date > (SELECT max(order_date) FROM old)")})"""),
+    "staged_append": oracle(f"""
+        WITH old AS ({_runs('ASC', "order_date <= DATE '1995-06-30'")})
+        SELECT * FROM old UNION ALL
+        SELECT DISTINCT * FROM ({_runs('DESC', "order_date > (SELECT max(order_date) FROM old)")})"""),
     "append_evolve": """
         SELECT event_id, value, NULL AS event_type, NULL AS loaded_at FROM events WHERE event_type = 'click'
         UNION ALL SELECT event_id, value, event_type, TIMESTAMP '2024-02-01 08:00:00' FROM events WHERE event_type <> 'click'""",

@@ -63,9 +63,22 @@ def shared_folder(spark: SparkSession) -> str:
 
     Without that setting a session of one machine gets a temporary folder, and a cluster an error.
     """
+    return f"{_shared_base(spark)}/{uuid.uuid4().hex}"
+
+
+def stable_folder(spark: SparkSession, *parts: str) -> str:
+    """The same path below the shared folder for the same parts, in every attempt of a job."""
+    return "/".join([_shared_base(spark), *parts])
+
+
+_local_bases: dict[str, str] = {}
+
+
+def _shared_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="ledgerloom-")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+        app = spark.sparkContext.applicationId
+        base = _local_bases.setdefault(app, tempfile.mkdtemp(prefix="ledgerloom-"))
+    return base.rstrip("/")
