@@ -19,6 +19,7 @@ is linked, and the highest such count of each A id) are Spark aggregations over
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -47,6 +48,7 @@ def _byte_decoder() -> dict[str, int]:
 @lru_cache(maxsize=4)
 def tokenizers(a_path: str, b_path: str):
     """(A, B, bytes of A's ids, bytes of B's ids), loaded once per worker."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one core per task, as Spark counts them
     import sentencepiece
     from tokenizers import Tokenizer
 
@@ -64,7 +66,7 @@ def tokenizers(a_path: str, b_path: str):
             b_bytes.append(bytes([int(piece[3:5], 16)]))
         else:
             b_bytes.append(piece.replace("▁", " ").encode())
-    return a, b, a_bytes, b_bytes
+    return a, b, np.array(a_bytes + [b""], dtype=object)[:-1], np.array(b_bytes + [b""], dtype=object)[:-1]
 
 
 def lockstep(a_ends: np.ndarray, a_bounds: np.ndarray, b_ends: np.ndarray, b_bounds: np.ndarray):
@@ -97,50 +99,81 @@ def lockstep(a_ends: np.ndarray, a_bounds: np.ndarray, b_ends: np.ndarray, b_bou
     return ga, gb, groups
 
 
+TEXT_CHUNK = 1 << 20  # characters of text encoded at once; a longer text is its own chunk
+
+
+def _encode(texts: list[str], ta, tb, a_bytes: np.ndarray, b_bytes: np.ndarray) -> tuple[list, list]:
+    """Ids of A and B for each text; empty where a text is empty or either side does not give back its bytes."""
+    ids_a, ids_b = [], []
+    first = 0
+    while first < len(texts):
+        last, size = first, 0
+        while last < len(texts) and (last == first or size + len(texts[last]) <= TEXT_CHUNK):
+            size += len(texts[last])
+            last += 1
+        part = texts[first:last]
+        enc_a = [e.ids for e in ta.encode_batch([" " + t for t in part], add_special_tokens=False)]
+        enc_b = tb.encode(part, num_threads=1)
+        for t, a, b in zip(part, enc_a, enc_b):
+            a, b = np.array(a, np.int64), np.array(b, np.int64)
+            whole = (" " + t).encode()
+            ok = bool(t) and b"".join(a_bytes[a]) == whole and b"".join(b_bytes[b]) == whole
+            ids_a.append(a if ok else np.zeros(0, np.int64))
+            ids_b.append(b if ok else np.zeros(0, np.int64))
+        first = last
+    return ids_a, ids_b
+
+
+def _digest(a: np.ndarray, ga: np.ndarray, b: np.ndarray, gb: np.ndarray) -> str:
+    """sha256 of ``a1,a2|b1;a3|b2,b3``: each group's A ids, then its B ids, groups in order."""
+    sep_a = np.where(np.append(ga[1:] == ga[:-1], False), ",", "|")
+    sep_b = np.where(np.append(gb[1:] == gb[:-1], False), ",", ";")
+    sep_b[-1] = ""
+    parts = np.concatenate([np.char.add(a.astype(str), sep_a), np.char.add(b.astype(str), sep_b)])
+    order = np.lexsort((np.arange(len(a) + len(b)), np.concatenate([np.zeros(len(a)), np.ones(len(b))]), np.concatenate([ga, gb])))
+    return hashlib.sha256("".join(parts[order].tolist()).encode()).hexdigest()
+
+
+def _links(a: np.ndarray, ga: np.ndarray, b: np.ndarray, gb: np.ndarray, n_groups: int) -> np.ndarray:
+    """Distinct (A id, B id) pairs linked in one text, as codes ``a << 20 | b``, with their number of links."""
+    starts = np.searchsorted(gb, np.arange(n_groups + 1))
+    per_a = (starts[1:] - starts[:-1])[ga]
+    total = int(per_a.sum())
+    first_b = np.repeat(starts[:-1][ga], per_a)
+    offset = np.arange(total) - np.repeat(np.cumsum(per_a) - per_a, per_a)
+    code = np.repeat(a, per_a) * (1 << 20) + b[first_b + offset]
+    return np.unique(code, return_counts=True)
+
+
 def align_batch(texts: list, a_path: str, b_path: str) -> dict[str, list]:
     """Counts, group digest and distinct linked id pairs (with their number of links) of every text."""
     ta, tb, a_bytes, b_bytes = tokenizers(a_path, b_path)
     n = len(texts)
-    body = [t if t else "" for t in texts]
-    enc_a = ta.encode_batch([" " + t for t in body], add_special_tokens=False)
-    enc_b = tb.encode(body, num_threads=1)
-    ids_a, ids_b = [], []
-    for i, t in enumerate(body):
-        a, b = enc_a[i].ids, enc_b[i]
-        whole = (" " + t).encode()
-        ok = bool(t) and b"".join(a_bytes[x] for x in a) == whole and b"".join(b_bytes[x] for x in b) == whole
-        ids_a.append(np.array(a if ok else [], np.int64))
-        ids_b.append(np.array(b if ok else [], np.int64))
-    a_len = np.array([len(x) for x in a_bytes], np.int64)
-    b_len = np.array([len(x) for x in b_bytes], np.int64)
+    ids_a, ids_b = _encode([t if t else "" for t in texts], ta, tb, a_bytes, b_bytes)
+    a_len = np.fromiter((len(x) for x in a_bytes), np.int64, len(a_bytes))
+    b_len = np.fromiter((len(x) for x in b_bytes), np.int64, len(b_bytes))
     a_bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids_a])]).astype(np.int64)
     b_bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids_b])]).astype(np.int64)
     flat_a = np.concatenate([np.zeros(0, np.int64), *ids_a])
     flat_b = np.concatenate([np.zeros(0, np.int64), *ids_b])
-    a_ends = _ends(a_len[flat_a], a_bounds)
-    b_ends = _ends(b_len[flat_b], b_bounds)
-    ga, gb, n_groups = lockstep(a_ends, a_bounds, b_ends, b_bounds)
-    out = {"n_a": [], "n_b": [], "n_groups": n_groups.tolist(), "groups_sha256": [], "pairs": []}
+    ga, gb, n_groups = lockstep(_ends(a_len[flat_a], a_bounds), a_bounds, _ends(b_len[flat_b], b_bounds), b_bounds)
+    out = {"n_a": np.diff(a_bounds).tolist(), "n_b": np.diff(b_bounds).tolist(), "n_groups": n_groups.tolist(), "groups_sha256": []}
+    codes, counts, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.zeros(n, np.int64)
     for d in range(n):
         a, b = ids_a[d], ids_b[d]
-        out["n_a"].append(len(a))
-        out["n_b"].append(len(b))
         if not len(a):
             out["groups_sha256"].append("")
-            out["pairs"].append([])
             continue
-        ag, bg = ga[a_bounds[d] : a_bounds[d + 1]], gb[b_bounds[d] : b_bounds[d + 1]]
-        cut_a = np.searchsorted(ag, np.arange(n_groups[d] + 1))
-        cut_b = np.searchsorted(bg, np.arange(n_groups[d] + 1))
-        text, pairs = [], {}
-        for k in range(n_groups[d]):
-            xa, xb = a[cut_a[k] : cut_a[k + 1]].tolist(), b[cut_b[k] : cut_b[k + 1]].tolist()
-            text.append(",".join(map(str, xa)) + "|" + ",".join(map(str, xb)))
-            for x in xa:
-                for y in xb:
-                    pairs[(x, y)] = pairs.get((x, y), 0) + 1
-        out["groups_sha256"].append(hashlib.sha256(";".join(text).encode()).hexdigest())
-        out["pairs"].append([{"a": x, "b": y, "n": c} for (x, y), c in pairs.items()])
+        da, db = ga[a_bounds[d] : a_bounds[d + 1]], gb[b_bounds[d] : b_bounds[d + 1]]
+        out["groups_sha256"].append(_digest(a, da, b, db))
+        code, count = _links(a, da, b, db, int(n_groups[d]))
+        codes.append(code)
+        counts.append(count)
+        sizes[d] = len(code)
+    code, count = np.concatenate(codes), np.concatenate(counts)
+    fields = [pa.array((code >> 20).astype(np.int32)), pa.array((code & ((1 << 20) - 1)).astype(np.int32)), pa.array(count)]
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    out["pairs"] = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, names=["a", "b", "n"]))
     return out
 
 
@@ -160,7 +193,9 @@ def _aligner(a_path: str, b_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = align_batch(batch.column("text").to_pylist(), a_path, b_path)
-            yield pa.RecordBatch.from_pydict({"row": batch.column("row"), **out}, schema=schema)
+            columns = [batch.column("row"), *[pa.array(out[k], pa.int64()) for k in ("n_a", "n_b", "n_groups")]]
+            columns += [pa.array(out["groups_sha256"], pa.string()), out["pairs"].cast(schema.field("pairs").type)]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
 
