@@ -12,8 +12,9 @@ Method:
    are those with the longest common prefix: deep where a region is dense, shallow where it is sparse.
    Each set proposes its ``NEIGHBOURS`` successors in every tree's order, among sets that share at least
    the key's first value, if the low bytes of their 64 signature values agree in at least
-   ``SKETCH_MATCHES`` places (b-bit MinHash: a pair of Jaccard 0.85 agrees in about 54.5, standard
-   deviation 2.9, so the cut at 32 loses such a pair with a probability below 1e-14).
+   ``SKETCH_MATCHES`` places (b-bit MinHash: a pair of Jaccard 0.85 agrees in about 54.5 places,
+   standard deviation 2.9, so the cut at 40 loses such a pair with a probability of about 3e-7).  Key
+   values are the high 32 bits of a bin, which keeps the rows that are sorted and shuffled small.
 3. Adaptive regions: sorting happens within regions, a region being the sets of one key prefix.  A
    prefix holding more than ``REGION_ROWS`` sets is split by its next key value, down to the full key,
    and a full key still too large is split by a hash of the id; the last set of a region and the first
@@ -47,7 +48,7 @@ DEPTH = 8
 NEIGHBOURS = 2
 REGION_ROWS = 50_000
 THRESHOLD_PCT = 85
-SKETCH_MATCHES = 32
+SKETCH_MATCHES = 40
 
 _BINS = TREES * DEPTH
 _SHIFT = np.uint64(64 - 6)  # 64 bins from the top six bits
@@ -129,7 +130,9 @@ def _forest_rows(sets: DataFrame) -> DataFrame:
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t")
     sketch = F.transform("sig", lambda x: ((x.bitwiseAND(F.lit(255))) - 128).cast("tinyint"))
     rows = sets.select("rep", "sig", sketch.alias("sketch"), trees)
-    key = F.transform(F.sequence(F.lit(0), F.lit(DEPTH - 1)), lambda j: F.element_at("sig", (j * TREES + F.col("t") + 1).cast("int")))
+    key = F.transform(
+        F.sequence(F.lit(0), F.lit(DEPTH - 1)), lambda j: F.shiftright(F.element_at("sig", (j * TREES + F.col("t") + 1).cast("int")), 32).cast("int")
+    )
     return rows.select("t", key.alias("key"), "rep", "sketch")
 
 
