@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import reshape, sales
 from ..plans import sales_channels as ch
-from .standins import oracle, register, table
+from ..sources.frames import written
+from .standins import STANDINS, oracle, register, table
 
 AS_OF = date(2026, 6, 1)
 BRANDS = dict(first="FIRST", second="SECOND", name="Acme", other="Zeta")
@@ -128,7 +129,10 @@ SPACED = {"sku_code": "sku code", "display_price": "display price", "total_qty":
 
 
 def _feeds(spark, sf):
-    sale, floats = table(spark, sf, "in_sale"), table(spark, sf, "in_sale_float_id")
+    """The feeds, sliced from one copy of the wide stand-in: lines and orders are joined once, and each
+    feed reads the partition of its priority."""
+    sale = written(table(spark, sf, "in_sale"), "o_orderpriority")
+    floats = spark.sql(STANDINS["in_sale_float_id"].replace("{in_sale}", "{sale}"), sale=sale)
     feeds = {}
     for priority, names in PRIORITY.items():
         for name in names:
@@ -160,14 +164,16 @@ def discounted_feed(spark, sf, feed):
 
 
 def _mappings(spark, sf):
+    """Each mapping prepared once and written: every branch that joins it reads the copy."""
     products = table(spark, sf, "in_master_map")
+    master = written(sales.master_mapping(products))
     return {
-        "master": sales.master_mapping(products),
-        "salon": sales.preferred_mapping(products, "Salon"),
-        "offline": sales.offline_mapping(table(spark, sf, "in_offline_map")),
-        "export": sales.export_mapping(table(spark, sf, "in_export_map")),
-        "marketplace": sales.marketplace_mapping(table(spark, sf, "in_marketplace_map")),
-        "b_shop": sales.master_mapping(products),
+        "master": master,
+        "salon": written(sales.preferred_mapping(products, "Salon")),
+        "offline": written(sales.offline_mapping(table(spark, sf, "in_offline_map"))),
+        "export": written(sales.export_mapping(table(spark, sf, "in_export_map"))),
+        "marketplace": written(sales.marketplace_mapping(table(spark, sf, "in_marketplace_map"))),
+        "b_shop": master,
     }
 
 

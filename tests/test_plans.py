@@ -82,3 +82,10 @@ def test_hot_key_join_is_split(no_broadcast):
     finally:
         for k in settings:
             spark.conf.unset(k)
+
+
+def test_sales_union_reads_lines_and_products_once_per_source(no_broadcast):
+    """The wide feed and the mappings are written once; branches read the copies, not the joins behind them."""
+    text = plan(all_queries()["sales_union"](tune(no_broadcast), SF))
+    assert len(re.findall(r"Scan parquet .*lineitem", text)) <= 6  # the wide feed's copy aside, five small stand-ins
+    assert len(re.findall(r"Scan parquet .*part\b", text)) <= 1
