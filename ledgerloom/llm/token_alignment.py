@@ -19,6 +19,7 @@ is linked, and the highest such count of each A id) are Spark aggregations over
 from __future__ import annotations
 
 import hashlib
+import operator
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -112,7 +113,7 @@ def _encode(texts: list[str], ta, tb, a_bytes: np.ndarray, b_bytes: np.ndarray)
             size += len(texts[last])
             last += 1
         part = texts[first:last]
-        enc_a = [e.ids for e in ta.encode_batch([" " + t for t in part], add_special_tokens=False)]
+        enc_a = [e.ids for e in ta.encode_batch_fast([" " + t for t in part], add_special_tokens=False)]
         enc_b = tb.encode(part, num_threads=1)
         for t, a, b in zip(part, enc_a, enc_b):
             a, b = np.array(a, np.int64), np.array(b, np.int64)
@@ -126,12 +127,13 @@ def _encode(texts: list[str], ta, tb, a_bytes: np.ndarray, b_bytes: np.ndarray)
 
 def _digest(a: np.ndarray, ga: np.ndarray, b: np.ndarray, gb: np.ndarray) -> str:
     """sha256 of ``a1,a2|b1;a3|b2,b3``: each group's A ids, then its B ids, groups in order."""
-    sep_a = np.where(np.append(ga[1:] == ga[:-1], False), ",", "|")
-    sep_b = np.where(np.append(gb[1:] == gb[:-1], False), ",", ";")
+    sep_a = np.where(np.append(ga[1:] == ga[:-1], False), ",", "|").tolist()
+    sep_b = np.where(np.append(gb[1:] == gb[:-1], False), ",", ";").tolist()
     sep_b[-1] = ""
-    parts = np.concatenate([np.char.add(a.astype(str), sep_a), np.char.add(b.astype(str), sep_b)])
-    order = np.lexsort((np.arange(len(a) + len(b)), np.concatenate([np.zeros(len(a)), np.ones(len(b))]), np.concatenate([ga, gb])))
-    return hashlib.sha256("".join(parts[order].tolist()).encode()).hexdigest()
+    items = list(map(operator.add, map(str, a.tolist()), sep_a)) + list(map(operator.add, map(str, b.tolist()), sep_b))
+    order = np.argsort(np.concatenate([ga * 2, gb * 2 + 1]), kind="stable").tolist()
+    text = "".join(operator.itemgetter(*order)(items)) if len(items) > 1 else items[0]
+    return hashlib.sha256(text.encode()).hexdigest()
 
 
 def _links(a: np.ndarray, ga: np.ndarray, b: np.ndarray, gb: np.ndarray, n_groups: int) -> np.ndarray:
@@ -217,7 +219,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     links = aligned.select("row", F.explode("pairs").alias("p")).select("row", "p.a", "p.b", "p.n")
     counts = links.groupBy("a", "b").agg(F.count("*").alias("docs"))
     top = counts.groupBy("a").agg(F.max("docs").alias("top"))
-    scored = links.join(counts, ["a", "b"]).join(top, "a")
+    # pair counts meet their A id's top first (tables of distinct pairs), so the link rows shuffle once
+    scored = links.join(written(counts.join(top, "a")), ["a", "b"])
     per_row = scored.groupBy("row").agg(
         F.sum("n").alias("n_links"),
         F.sum(F.when(F.col("docs") == F.col("top"), F.col("n")).otherwise(0)).alias("n_best"),
