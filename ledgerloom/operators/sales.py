@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import FINE, money_sum
 from .dedupe import dedupe_any, pick_preferred
 from .joins import lookup
-from .reshape import spread_month
+from .reshape import days_in_month, days_of_month, spread_month
 
 DIMS = [
     "brand", "source_channel", "channel", "com", "order_date", "product_id", "parent_sku",
@@ -73,8 +73,8 @@ def mapping_rows(mapping: DataFrame, spec: ChannelSpec) -> DataFrame:
     return mapping.where(channel == (spec.guard.lower() if spec.guard_any_case else spec.guard))
 
 
-def channel_rows(src: DataFrame, spec: ChannelSpec, mapping: DataFrame) -> DataFrame:
-    """Sales rows of one feed, one per day, product and mapping row.
+def channel_rows(src: DataFrame, spec: ChannelSpec, mapping: DataFrame, spread: bool = True) -> DataFrame:
+    """Sales rows of one feed, one per day, product and mapping row; monthly rows stay so without ``spread``.
 
     The feed is summed by (day, product, key, region) before the mapping join, so the join
     meets a best-seller as one row per day, not as all its order lines.  ``mapping`` has
@@ -136,7 +136,7 @@ def channel_rows(src: DataFrame, spec: ChannelSpec, mapping: DataFrame) -> DataF
         sales.alias("gross_sales"),
         F.col("units_sold").cast("double").alias("units_sold"),
     )
-    if spec.monthly:
+    if spec.monthly and spread:
         out = spread_month(out, "order_date", MEASURES).select(*DIMS, *MEASURES)
     return out
 
@@ -191,6 +191,18 @@ def sales_fact(unioned: DataFrame, as_of: date) -> DataFrame:
     )
 
 
+def month_fact(unioned: DataFrame, as_of: date) -> DataFrame:
+    """What :func:`sales_fact` makes of monthly rows once they are spread, grouped before the spread.
+
+    All days of a month get the same share of a row, so the sum of the shares is the sum of each day.
+    """
+    days = days_in_month("order_date").cast("double")
+    shares = unioned.withColumns({m: F.col(m).cast("double") / days for m in MEASURES})
+    day = F.explode(days_of_month("order_date")).alias("order_date")
+    columns = [day if c == "order_date" else c for c in [*FACT_DIMS, *MEASURES]]
+    return sales_fact(shares, as_of).select(*columns).where(F.col("order_date") < F.lit(as_of))
+
+
 # --- product mappings in the layout that channel_sales expects ---
 
 MAP_COLUMNS = [
@@ -267,7 +279,20 @@ def sales_union(
 ) -> DataFrame:
     """The sales fact over every spec.
 
-    The branches are not grouped one by one: the fact groups them once.
+    The branches are not grouped one by one: the fact groups them once.  Monthly branches that share
+    their labels with no daily one are grouped by month and spread last, so the shuffle meets a month
+    of a product as one row, not as its days.
     """
-    parts = [channel_rows(feeds[s.feed], s, mappings[s.mapping]) for s in specs]
-    return sales_fact(union_channels(parts), as_of)
+    def label(s: ChannelSpec) -> tuple:
+        return s.brand, s.com, s.source_channel, s.channel
+
+    def rows(chosen: Sequence[ChannelSpec], spread: bool) -> DataFrame:
+        return union_channels([channel_rows(feeds[s.feed], s, mappings[s.mapping], spread) for s in chosen])
+
+    daily = {label(s) for s in specs if not s.monthly}
+    late = [s for s in specs if s.monthly and label(s) not in daily]
+    soon = [s for s in specs if s not in late]
+    facts = [sales_fact(rows(soon, True), as_of)] if soon else []
+    if late:
+        facts.append(month_fact(rows(late, False), as_of))
+    return union_channels(facts)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import reshape, sales
 from ..plans import sales_channels as ch
 from ..sources.frames import written
-from .standins import STANDINS, oracle, register, table
+from .standins import oracle, order_lines, over_lines, register, table
 
 AS_OF = date(2026, 6, 1)
 BRANDS = dict(first="FIRST", second="SECOND", name="Acme", other="Zeta")
@@ -129,10 +129,10 @@ SPACED = {"sku_code": "sku code", "display_price": "display price", "total_qty":
 
 
 def _feeds(spark, sf):
-    """The feeds, sliced from one copy of the wide stand-in: lines and orders are joined once, and each
-    feed reads the partition of its priority."""
-    sale = written(table(spark, sf, "in_sale"), "o_orderpriority")
-    floats = spark.sql(STANDINS["in_sale_float_id"].replace("{in_sale}", "{sale}"), sale=sale)
+    """The feeds, sliced from one copy of the joined lines and orders: it holds the columns of the two that the
+    wide stand-in is made from, and each feed makes its own columns from the partition of its priority."""
+    source = over_lines(spark, sf, written(order_lines(spark, sf), "o_orderpriority"))
+    sale, floats = source("in_sale"), source("in_sale_float_id")
     feeds = {}
     for priority, names in PRIORITY.items():
         for name in names:
@@ -147,11 +147,11 @@ def _feeds(spark, sf):
             if name == "big_basket":
                 df = df.withColumnRenamed("brand", "brand_name")
             feeds[name] = df
-    feeds["tira"] = discounted_feed(spark, sf, feeds["tira"])
-    feeds["gt_nba"] = ch.gt_nba_feed(feeds["gt_nba"], table(spark, sf, "in_listing"))
-    feeds["mt_ba"] = ch.mt_ba_feed(table(spark, sf, "in_wide_months"), table(spark, sf, "in_daily_sheet"))
-    feeds["mt_core"] = ch.mt_core_feed(table(spark, sf, "in_po"), table(spark, sf, "in_invoices"))
-    feeds["salon"] = ch.salon_feed(table(spark, sf, "in_salon"))
+    feeds["tira"] = discounted_feed(feeds["tira"], source("in_discounts"))
+    feeds["gt_nba"] = ch.gt_nba_feed(feeds["gt_nba"], source("in_listing"))
+    feeds["mt_ba"] = ch.mt_ba_feed(source("in_wide_months"), source("in_daily_sheet"))
+    feeds["mt_core"] = ch.mt_core_feed(source("in_po"), source("in_invoices"))
+    feeds["salon"] = ch.salon_feed(source("in_salon"))
     return feeds
 
 
@@ -159,8 +159,8 @@ DISCOUNT_KEYS = ["order_date", "product_id", "customer_order_source"]
 CUTOVER = date(1998, 1, 1)
 
 
-def discounted_feed(spark, sf, feed):
-    return sales.discounted_sales(feed, table(spark, sf, "in_discounts"), DISCOUNT_KEYS, CUTOVER)
+def discounted_feed(feed, discounts):
+    return sales.discounted_sales(feed, discounts, DISCOUNT_KEYS, CUTOVER)
 
 
 def _mappings(spark, sf):
@@ -210,7 +210,7 @@ def cutover_union(spark, sf):
 
 
 def discounted_sales(spark, sf):
-    return discounted_feed(spark, sf, table(spark, sf, "in_sale")).select(
+    return discounted_feed(table(spark, sf, "in_sale"), table(spark, sf, "in_discounts")).select(
         "o_orderkey", "l_linenumber", *DISCOUNT_KEYS, "gmv", "gross_sale", "gross_sales"
     )
 

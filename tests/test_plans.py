@@ -89,3 +89,12 @@ def test_sales_union_reads_lines_and_products_once_per_source(no_broadcast):
     text = plan(all_queries()["sales_union"](tune(no_broadcast), SF))
     assert len(re.findall(r"Scan parquet .*lineitem", text)) <= 6  # the wide feed's copy aside, five small stand-ins
     assert len(re.findall(r"Scan parquet .*part\b", text)) <= 1
+
+
+def test_sales_union_writes_only_what_the_feeds_are_made_from(spark, monkeypatch):
+    from ledgerloom.queries import sales
+
+    widths, written = [], sales.written
+    monkeypatch.setattr(sales, "written", lambda df, by=None: (widths.append(len(df.columns)), written(df, by))[1])
+    all_queries()["sales_union"](tune(spark), SF)
+    assert max(widths) <= 16

@@ -138,3 +138,21 @@ def test_one_price_and_target_per_channel(spark):
     targets = spark.createDataFrame([("x", date(2024, 1, 1), 310.0)], "channel string, month date, monthly_target double")
     got = projection.daily_target(targets, projection.selling_price(daily)).collect()
     assert [(r.daily_target, r.daily_units_target) for r in got] == [(10.0, 0.5)]
+
+
+def test_months_are_spread_after_the_fact_is_grouped(spark):
+    """The same fact as from spread rows, with the explode above the grouping; not where a daily branch has the same labels."""
+    cols = "map_key string, map_channel string, parent_sku string, master_sku string, product_title string, master_title string, " \
+           "mrp_og double, mrp_rev double, main_category string, sub_category string"
+    rows = [(str(k), None, f"P{k % 2}", "m", None, "mt", 10.0, 8.0, "mc", "sc") for k in range(4)]
+    mapping = spark.createDataFrame(rows, cols)
+    feed = [(date(2024, m, 1 + k), str(k), 7.0 + k, 3.1 * m, None if k else 2.0) for m in (1, 2, 3) for k in range(6)]
+    feed = spark.createDataFrame([*feed, (None, "1", 1.0, 1.0, 1.0)], "order_date date, product_id string, gmv double, gross_sales double, units_sold double")
+    as_of = date(2024, 3, 10)
+    month, day, alike = (sales.ChannelSpec("F", "K", c, "E", "f", monthly=m) for c, m in (("A", True), ("B", False), ("B", True)))
+    for specs, groupings in (([month], 2), ([month, day], None), ([day, alike], 1)):  # groupings: those below the explode
+        got = sales.sales_union({"f": feed}, {"master": mapping}, specs, as_of)
+        want = sales.sales_fact(sales.union_channels([sales.channel_rows(feed, s, mapping) for s in specs]), as_of)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == want.columns
+        below = got._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")[1]
+        assert groupings in (None, below.count("Aggregate ["))
