@@ -3,9 +3,9 @@
 A template of ``m`` words may differ in a tenth of them.  It is cut into one piece more than it may
 have differences, so a text that holds it has one of the pieces word for word.  Around every such
 piece, whatever the lines, blank lines and comment signs, template and text are aligned word by word.
-An aligned block is compressed alone and with the template as a raw zstandard dictionary; it counts
-if its wording differs by no more than a tenth and the template shortens it.  Of blocks that overlap
-the one that explains most words stays.
+An aligned block is compressed alone and with the template as a raw zstandard dictionary, and blocks are
+ranked by the bytes that the template saves.  From the top of the ranking a block is confirmed by its
+wording, which may differ in no more than a tenth, unless it overlaps one that saves more.
 """
 
 from __future__ import annotations
@@ -151,9 +151,10 @@ class Templates:
                         self._extend(k, a, b, words, i, found, whole)
                 at = joined.find(piece, at + 1)
         out, used = [], []
-        for _, start, end, k in sorted((-score, start, end, k) for (start, end, k), (score, *_) in found.items()):
+        ranked = sorted((-saved, len(missing) + len(added), start, end, k) for (start, end, k), (saved, missing, added) in found.items())
+        for _, _, start, end, k in ranked:
             if all(end <= a or b <= start for a, b in used):
-                _, saved, missing, added = found[start, end, k]
+                saved, missing, added = found[start, end, k]
                 used.append((start, end))
                 out.append((start, end, self.names[k], saved, missing, added))
         if out:
@@ -175,11 +176,12 @@ class Templates:
         if not differences:
             whole.add((k, i - a))
         start, end = i - before[0], i + b - a + after[0]
-        score = len(want) - len(missing) - differences  # words explained, less the differences
-        if (start, end, k) not in found or found[start, end, k][0] < score:
+        if (start, end, k) not in found:
             saved = self.saving(k, words[start:end])
             if saved > 0:
-                found[start, end, k] = score, saved, missing, added
+                found[start, end, k] = saved, missing, added
+        elif differences < len(found[start, end, k][1]) + len(found[start, end, k][2]):
+            found[start, end, k] = found[start, end, k][0], missing, added
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:

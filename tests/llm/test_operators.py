@@ -329,6 +329,17 @@ def test_bsd_licenses_differ_by_the_third_clause(holder):
     assert [r[2] for r in known.scan(BSD_TEXT)] == ["BSD-2-Clause"]
 
 
+def test_licenses_are_ranked_by_the_bytes_that_compression_saves(monkeypatch):
+    """Of two overlapping templates the one with more words saves fewer bytes; without any saving nothing is a license."""
+    short, long = ("SHORT", "a b c d e f g h"), ("LONG", "h internationalization standardization interoperability")
+    for templates in ([short, long], [long, short]):
+        known = license_scan.Templates(templates)
+        assert [r[2] for r in known.scan(short[1] + long[1][1:])] == ["LONG"]
+    monkeypatch.setattr(license_scan.Templates, "saving", lambda self, k, words: 0)
+    known = license_scan.Templates(license_scan.TEMPLATES)
+    assert known.scan(MIT_TEXT) == []
+
+
 def test_empty_tables(session):
     empty = session.createDataFrame([], DOCS)
     labels = session.createDataFrame([], "doc_id long, toxic int, quality int")
