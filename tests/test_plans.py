@@ -98,3 +98,25 @@ def test_sales_union_writes_only_what_the_feeds_are_made_from(spark, monkeypatch
     monkeypatch.setattr(sales, "written", lambda df, by=None: (widths.append(len(df.columns)), written(df, by))[1])
     all_queries()["sales_union"](tune(spark), SF)
     assert max(widths) <= 16
+
+
+def exchanges(text, column):
+    """Shuffles that deal out by ``column``, counting each once."""
+    return set(re.findall(rf"Exchange hashpartitioning\([^\n]*\b{column}#[^\n]*plan_id=(\d+)", text))
+
+
+def test_reconciliation_shuffles_lines_once_per_key(no_broadcast):
+    """ERP suborders are dealt out by AWB once, for sums and courier; lines by line once and by order once, and read once."""
+    queries, spark = all_queries(), tune(no_broadcast)
+    for name, by_order in (("recon_lines", 0), ("recon_flags", 0), ("recon_severity", 0), ("recon_order_rollup", 1), ("reconciliation", 1)):
+        text = plan(queries[name](spark, SF))
+        assert len(exchanges(text, "_awb_key")) == 1
+        by_line = len(exchanges(text, "shop_order_item_id"))
+        assert by_line <= 3  # shop, ERP with courier, returns where they are asked for
+        assert len(exchanges(text, "shop_order_name")) == by_line + by_order
+        assert len(re.findall(r"Scan parquet .*\bl_orderkey#", text)) <= 5
+
+
+def test_warehouse_report_shuffles_each_courier_feed_once_for_the_join(no_broadcast):
+    text = plan(all_queries()["warehouse_report"](tune(no_broadcast), SF))
+    assert "FullOuter" not in text and len(exchanges(text, "_extra")) == 1
