@@ -49,3 +49,19 @@ def test_operator_edges(spark):
     # the pair of "Hello world" is linked in two documents (rows), so its links count 2 each
     assert one.count_sum >= 2 * one.n_links - 2 * one.n_groups
     assert ta.align(df.limit(0), a, b).count() == 0
+
+
+def test_stretches_are_encoded_once_and_give_what_whole_texts_give(monkeypatch):
+    a, b = tokenizer_path(TOKENIZER_A), tokenizer_path(TOKENIZER_B)
+    rng = random.Random(9)
+    bits = [" ", "  ", "\n", "\t", "\u00a0", "\u2581", "a", "the", "'s", "12", "...", "e\u0301", "<|endoftext|>", "</s>", "\uff46", "\x1c", "Word"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(3000)] + [None, "", " ", " of the the of the"]
+    sent = []
+    encode = ta._encode
+    monkeypatch.setattr(ta, "_encode", lambda part, *rest: sent.append(part) or encode(part, *rest))
+    got = ta.align_batch(texts, a, b)
+    assert len(sent[0]) == len(set(sent[0])) and {"the", "of the"} & set(sent[0]) == {"the"}
+    monkeypatch.setattr(ta, "separable", lambda *paths: False)
+    want = ta.align_batch(texts, a, b)
+    assert got.pop("pairs").equals(want.pop("pairs"))
+    assert got == want
