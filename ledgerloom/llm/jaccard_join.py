@@ -32,6 +32,7 @@ from .store import fresh, partitions, written
 
 SHINGLE = 5
 PERCENT = 75  # similarity of a link
+CHUNKS = 4  # chunks of texts for each bucket: a chunk is a task's memory, 130 to 170 bytes a shingle as measured
 _KEY_BITS = 48
 _U = np.uint64
 
@@ -114,7 +115,7 @@ SETS = "id long, fa long, fb long, n long, alone long, p1 array<long>, p2 binary
 def shingle_table(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
     """One row per distinct word sequence (smallest id); documents that may have a partner have their sets."""
     buckets = partitions(docs)
-    n_chunks = buckets
+    n_chunks = CHUNKS * buckets
     source = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def packed(batches):

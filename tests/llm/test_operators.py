@@ -382,3 +382,16 @@ def test_pipeline_keeps_what_it_should(session, tmp_path):
             assert docs.columns == columns and 0.5 * before < docs.count() <= before
             before = docs.count()
     assert docs.select("doc_id").distinct().count() == before
+
+
+def test_jaccard_chunks_are_smaller_than_shuffle_partitions(spark):
+    """A chunk is held whole by a task, with several arrays of 8 bytes a shingle."""
+    from ledgerloom.llm import jaccard_join
+    from ledgerloom.llm.store import partitions
+
+    prepared(spark)
+    rows = [(i, " ".join(f"w{i}_{k}" for k in range(20))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    table = jaccard_join.shingle_table(df, "doc_id", "text", 5, 75)
+    chunks = {r.fa % 2**64 % (jaccard_join.CHUNKS * partitions(df)) for r in table.select("fa").collect()}
+    assert len(chunks) > partitions(df)
