@@ -91,7 +91,7 @@ def _shared(rows: DataFrame, key: str) -> DataFrame:
     return lookup(rows, twice, [key], how="left_semi")
 
 
-def _in_filter(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def in_filter(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` without most of the rows whose id is not in ``ids``; none whose id is there is lost.
 
     A bitmap of fixed size over hashes of the ids, so what is broadcast has that size whatever the
@@ -124,7 +124,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     near = _shared(half, "half").select("kh").distinct()
     held = distinct.select(F.xxhash64("k").alias("kh"), "k", F.col("at.id").alias("id"), F.col("at.pos").alias("pos"))
     places = written(held.join(near, "kh", "left_semi"))
-    source = _in_filter(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), places)
+    source = in_filter(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), places)
     own = source.join(places, "id").select(
         "k", "kh", F.struct("id", "pos").alias("at"), normal(F.element_at(F.split("text", "\n"), F.col("pos") + 1)).alias("line")
     )

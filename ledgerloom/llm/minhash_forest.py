@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from . import hashing
 from .components import components
+from .line_dedup import in_filter
 from .store import written
 
 SHINGLE = 5
@@ -136,27 +137,29 @@ def _forest_rows(sets: DataFrame) -> DataFrame:
     return rows.select("t", key.alias("key"), "rep", "sketch")
 
 
-def _regions(rows: DataFrame, region_rows: int) -> DataFrame:
-    """Rows with ``region`` (a hash of tree, prefix and salt) and ``deep`` (split below the first value)."""
-    done, pending = [], rows
+def _regions(rows: DataFrame, region_rows: int) -> tuple[DataFrame, bool]:
+    """Rows with ``region`` (a hash of tree, prefix and salt) and ``deep`` (split below the first value), and
+    whether any region is split.
+
+    Only the regions that are too large are written, by depth: a table of at most 1 / ``region_rows`` of the
+    rows, which Spark broadcasts while it is small, so the rows themselves are not shuffled here.
+    """
+    out = rows.withColumn("region", F.xxhash64("t", F.slice("key", 1, 1))).withColumn("deep", F.lit(False))
+    pending = out
     for depth in range(1, DEPTH + 1):
-        keyed = pending.withColumn("region", F.xxhash64("t", F.slice("key", 1, depth)))
-        sizes = keyed.groupBy("region").agg(F.count("*").alias("size"))
-        keyed = keyed.join(sizes, "region")
-        small = keyed.where(F.col("size") <= region_rows) if depth < DEPTH else keyed
-        if depth == DEPTH:  # one full key held by too many sets: split by a hash of the id
-            parts = F.ceil(F.col("size") / region_rows)
-            small = small.withColumn("region", F.xxhash64("region", F.pmod(F.xxhash64("rep"), parts)))
-        done.append(small.select("t", "key", "rep", "sketch", "region", F.lit(depth > 1).alias("deep")))
-        if depth == DEPTH:
-            break
-        pending = written(keyed.where(F.col("size") > region_rows).select("t", "key", "rep", "sketch"))
-        if pending.isEmpty():
-            break
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
+        large = pending.groupBy("region").agg(F.count("*").alias("size")).where(F.col("size") > region_rows)
+        large = written(large)
+        if large.isEmpty():
+            return out, depth > 1
+        split = F.col("size").isNotNull()
+        if depth < DEPTH:
+            below = F.xxhash64("t", F.slice("key", 1, depth + 1))
+        else:  # one full key held by too many sets: split by a hash of the id
+            below = F.xxhash64("region", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / region_rows)))
+        found = out.join(large, "region", "left").withColumn("region", F.when(split, below).otherwise(F.col("region")))
+        pending = found.where(split).drop("size")
+        out = found.withColumn("deep", F.col("deep") | split).drop("size")
+    return out, True
 
 
 def _agree(a, b):
@@ -168,12 +171,19 @@ def candidates(
     sets: DataFrame, region_rows: int = REGION_ROWS, neighbours: int = NEIGHBOURS, sketch_matches: int = SKETCH_MATCHES
 ) -> DataFrame:
     """Pairs (a, b), a < b, of sets that are near in the sorted order of some tree and whose sketches agree."""
-    rows = written(_regions(_forest_rows(sets), region_rows))
+    rows, split = _regions(_forest_rows(sets), region_rows)
     order = Window.partitionBy("region").orderBy("key", "rep")
     ahead = [F.struct(F.lead("rep", i).over(order).alias("rep"), F.lead("sketch", i).over(order).alias("sketch")).alias(f"o{i}") for i in range(1, neighbours + 1)]
     near = rows.select("rep", "sketch", *ahead).select("rep", "sketch", F.explode(F.array(*[f"o{i}" for i in range(1, neighbours + 1)])).alias("o"))
-    pairs = near.where(_agree("sketch", "o.sketch") >= sketch_matches).select("rep", F.col("o.rep").alias("other"))
-    # regions that split one first value: the last set of a region and the first of the next one
+    both = near.where(_agree("sketch", "o.sketch") >= sketch_matches).select("rep", F.col("o.rep").alias("other"))
+    if split:
+        both = both.unionByName(_seams(rows, sketch_matches))
+    both = both.where("other IS NOT NULL AND other <> rep")
+    return both.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+
+
+def _seams(rows: DataFrame, sketch_matches: int) -> DataFrame:
+    """Of regions that split one first value: the last set of a region and the first of the next one."""
     ends = rows.where("deep").groupBy("region").agg(
         F.first("t").alias("t"),
         F.first(F.element_at("key", 1)).alias("k0"),
@@ -182,9 +192,7 @@ def candidates(
     )
     across = Window.partitionBy("t", "k0").orderBy("lo")
     seams = ends.select(F.col("lo.rep").alias("rep"), F.col("lo.sketch").alias("sketch"), F.lag("hi").over(across).alias("prev"))
-    seams = written(seams).where(_agree("sketch", "prev.sketch") >= sketch_matches).select("rep", F.col("prev.rep").alias("other"))
-    both = pairs.unionByName(seams).where("other IS NOT NULL AND other <> rep")
-    return both.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+    return written(seams).where(_agree("sketch", "prev.sketch") >= sketch_matches).select("rep", F.col("prev.rep").alias("other"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> DataFrame:
@@ -216,17 +224,17 @@ def near_duplicates(
     signed = written(signatures(docs, id_col, text_col).where(F.col("id").isNotNull()))
     shingled = signed.where("n_shingles > 0")
     # equal sets: the least id stands for them; Spark's partial aggregation folds a hot set
-    reps = shingled.groupBy("fp1", "fp2").agg(F.min("id").alias("rep"))
-    member = written(shingled.select("id", "fp1", "fp2").join(reps, ["fp1", "fp2"]).select("id", "rep"))
-    own = shingled.join(reps, ["fp1", "fp2"]).where(F.col("id") == F.col("rep"))
-    sets = written(own.dropDuplicates(["rep"]).select("rep", "n_shingles", "sig"))
-    pairs = written(candidates(sets, region_rows, neighbours))
-    # full sets of the sets in proposed pairs, from their texts again
+    best = F.min_by(F.struct("n_shingles", "sig"), "id")
+    reps = written(shingled.groupBy("fp1", "fp2").agg(F.min("id").alias("rep"), best.alias("best")).select("fp1", "fp2", "rep", "best.*"))
+    member = written(shingled.select("id", "fp1", "fp2").join(reps.select("fp1", "fp2", "rep"), ["fp1", "fp2"]).select("id", "rep"))
+    pairs = written(candidates(reps.select("rep", "sig"), region_rows, neighbours))
+    # full sets of the sets in proposed pairs, from their texts again; a bitmap of fixed size leaves out most other
+    # texts where they are read (a semi join would shuffle all of them), the join with the pairs the rest
     involved = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(involved, "id", "left_semi")
-    full = signatures(texts, "id", "text", sets=True).join(reps, ["fp1", "fp2"]).where(F.col("id") == F.col("rep"))
-    full = written(full.dropDuplicates(["rep"]).select("rep", "n_shingles", "shingles"))
-    links = confirmed(pairs, full, threshold_pct)
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    full = signatures(in_filter(texts, involved), "id", "text", sets=True).repartition("id").dropDuplicates(["id", "fp1", "fp2"])
+    full = full.select(F.col("id").alias("rep"), "n_shingles", "shingles")
+    links = confirmed(pairs, full, threshold_pct).distinct()
     # an id met with several sets joins them
     pairs = member.select("id", "rep").distinct()
     least = pairs.groupBy("id").agg(F.min("rep").alias("m"))

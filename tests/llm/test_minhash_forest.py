@@ -95,3 +95,23 @@ def test_edges(spark):
     assert by[None][0].component_id is None and by[None][0].kept is False
     assert by[6][0].component_id == 5  # fewer than five words: the whole sequence, A-Z lowered
     assert mf.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_forest_rows_are_shuffled_once_and_not_written(spark, monkeypatch):
+    prepared(spark)
+    tables = []
+    keep = mf.written
+    monkeypatch.setattr(mf, "written", lambda df: tables.append(df) or keep(df))
+    rows = corpus(seed=5, bases=6)
+    got = run(spark, rows)
+    assert {i: r.component_id for i, r in got.items()} == brute(rows)
+    assert not [t for t in tables if "sketch" in t.columns]
+
+
+def test_repeated_id_keeps_the_links_of_each_of_its_texts(spark):
+    prepared(spark)
+    first, second = (" ".join(f"{c}{i}" for i in range(60)) for c in "xy")
+    rows = [(1, first), (1, second), (2, first + " z"), (3, second + " z"), (4, "else where")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id) for r in mf.near_duplicates(df).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
