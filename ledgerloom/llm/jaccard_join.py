@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import lookup
 from . import chunks, hashing
 from .components import components
+from .line_dedup import flagged
 from .store import fresh, partitions, written
 
 SHINGLE = 5
@@ -267,12 +268,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one row of every component: that of the smallest id, and of rows that repeat this id
     the one with the least text.  Rows with a NULL id stay, all columns stay.
     """
-    groups = written(similar_documents(docs, id_col, text_col, shingle, percent).where(F.col(id_col).isNotNull()))
-    name, place = fresh(docs, "_extra"), fresh(docs, "_place")
-    ids = groups.groupBy(id_col).agg(F.min("component_id").alias("least"), F.count("*").alias("m"))
-    other = ids.where((F.col("m") > 1) | (F.col(id_col) != F.col("least"))).select(F.col(id_col).alias(name))
-    again = ids.where((F.col("m") > 1) & (F.col(id_col) == F.col("least"))).select(F.col(id_col).alias(name))
-    single = docs.join(other, docs[id_col] == F.col(name), "left_anti")
-    repeated = docs.join(again, docs[id_col] == F.col(name), "left_semi")
-    first = repeated.withColumn(place, F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))).where(F.col(place) == 1)
-    return single.unionByName(first.drop(place))
+    groups = similar_documents(docs, id_col, text_col, shingle, percent).where(F.col(id_col).isNotNull())
+    ids = groups.groupBy(F.col(id_col).alias("id")).agg(F.min("component_id").alias("least"), F.count("*").alias("m"))
+    ids = written(ids.where("m > 1 OR id <> least"))
+    listed, place, name = fresh(docs, "_listed"), fresh(docs, "_place"), fresh(docs, "_extra")
+    # most rows pass the bitmap and are not shuffled, whatever the size of ``ids``
+    every = flagged(docs, ids, F.col(id_col).cast("long"), listed)
+    first = every.where(F.col(listed)).withColumn(place, F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))).where(F.col(place) == 1)
+    other = ids.where("id <> least").select(F.col("id").alias(name))
+    first = first.join(other, first[id_col] == F.col(name), "left_anti").drop(place)
+    return every.where(~F.col(listed)).unionByName(first).drop(listed)

@@ -91,20 +91,28 @@ def _shared(rows: DataFrame, key: str) -> DataFrame:
     return lookup(rows, twice, [key], how="left_semi")
 
 
-def in_filter(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without most of the rows whose id is not in ``ids``; none whose id is there is lost.
+def flagged(docs: DataFrame, ids: DataFrame, own: Column, out: str = "_listed", how: str = "left") -> DataFrame:
+    """``docs`` with the column ``out``: true where the id ``own`` is in ``ids``, never where it is NULL.
 
-    A bitmap of fixed size over hashes of the ids, so what is broadcast has that size whatever the
-    number of documents; where many ids set most bits, fewer rows are left out.
+    A bitmap of fixed size over hashes of the ids (column ``id``, of the type of ``own``), so what is
+    broadcast has that size whatever the number of documents; where many ids set most bits, more of
+    the other rows are true by chance.
     """
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    bits = ids.select(place("id").alias("h")).groupBy(F.bitmap_bucket_number("h").alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("_bits")
+    bucket, bits = fresh(docs, "_bucket"), fresh(docs, "_bits")
+    held = ids.select(place("id").alias("h")).groupBy(F.bitmap_bucket_number("h").alias(bucket)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias(bits)
     )
-    at = F.bitmap_bit_position(place("id"))
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    joined = docs.join(F.broadcast(bits), F.bitmap_bucket_number(place("id")) == F.col("_bucket"))
-    return joined.where(F.getbit(byte, (at % 8).cast("int")) == 1).drop("_bucket", "_bits")
+    at = F.bitmap_bit_position(place(own))
+    byte = F.conv(F.hex(F.substring(F.col(bits), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    joined = docs.join(F.broadcast(held), F.bitmap_bucket_number(place(own)) == F.col(bucket), how)
+    hit = own.isNotNull() & F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return joined.withColumn(out, hit).drop(bucket, bits)
+
+
+def in_filter(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without most of the rows whose id is not in ``ids``; none whose id is there is lost."""
+    return flagged(docs, ids, F.col("id"), how="inner").where("_listed").drop("_listed")
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_near_chars: int = MIN_NEAR_CHARS) -> DataFrame:

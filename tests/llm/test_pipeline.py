@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from ledgerloom.llm import packing, toxicity
+from ledgerloom.llm import jaccard_join, packing, toxicity
 from ledgerloom.llm.oracle import DECONTAMINATION, JACCARD_JOIN, LINE_DEDUP
 from ledgerloom.llm.store import prepared
 
@@ -64,6 +64,25 @@ def test_near_copies(stages):
     assert sorted(ask(after, "SELECT doc_id FROM documents")) == sorted(want)
 
 
+def test_near_copies_leave_other_texts_unshuffled(spark):
+    """Too large for Spark to broadcast, the ids of near copies must not make it shuffle every text."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(i, text(i)) for i in range(300)] + [(300, text(7)), (301, text(7)), (5, text(5) + " z"), (None, text(7)), (None, None), (302, None)]
+    docs = prepared(spark).createDataFrame(rows, "doc_id int, text string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = jaccard_join.one_of_each(docs)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(out.collect(), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert out.schema == docs.schema
+    gone = [(300, text(7)), (301, text(7)), (5, text(5) + " z")]
+    assert got == sorted((r for r in rows if r not in gone), key=str)
+    assert plan.count("SortMergeJoin") == 1  # only rows that the bitmap names are joined by id
+
+
 def test_decontamination(stages):
     before, after = stages["decontamination"]
     want = ask(before, f"SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM ({DECONTAMINATION}))")
