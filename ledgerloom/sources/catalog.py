@@ -19,7 +19,8 @@ recorded does nothing.  One writer per table at a time; runs must follow one ano
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,34 @@ from ..session import stable_folder
 from .tables import read_table
 
 STAGED, COMMITTED = "staged", "committed"
+# A task of a build or an append sorts what it reads, up to this much of a file or this share of a shuffle
+# (adaptive execution puts small shares together again).  200 is the most that Spark writes without a sort.
+SPLIT, SHARES = 32 << 20, 200
+
+
+@contextmanager
+def _conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a write."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def _small_tasks(spark: SparkSession):
+    """Tasks whose memory does not follow the size of the table."""
+    shares = max(SHARES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _conf(
+        spark,
+        {"spark.sql.files.maxPartitionBytes": f"{SPLIT}b", "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shares)},
+    )
 
 
 def location(spark: SparkSession, name: str) -> str:
@@ -52,12 +81,13 @@ def open_table(spark: SparkSession, name: str) -> bool:
 def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
     """Replace table ``name`` by ``df`` (created if missing), partitioned by ``partition_by``."""
     spark = df.sparkSession
-    writer = _by_day(df, partition_by).write.mode("overwrite").format("parquet").option("path", location(spark, name))
-    if partition_by is not None:
-        writer = writer.partitionBy(partition_by)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"DROP TABLE {name}")  # external: the folder stays and is overwritten below
-    writer.saveAsTable(name)
+    with _small_tasks(spark):
+        writer = _by_day(df, partition_by).write.mode("overwrite").format("parquet").option("path", location(spark, name))
+        if partition_by is not None:
+            writer = writer.partitionBy(partition_by)
+        if spark.catalog.tableExists(name):
+            spark.sql(f"DROP TABLE {name}")  # external: the folder stays and is overwritten below
+        writer.saveAsTable(name)
 
 
 def _by_day(df: DataFrame, day: str | None) -> DataFrame:
@@ -71,17 +101,9 @@ def replace_partitions(df: DataFrame, name: str) -> None:
     """Rewrite the partitions of table ``name`` that ``df`` has rows for; other partitions stay."""
     spark = df.sparkSession
     columns = spark.table(name).columns
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "dynamic")
-    try:
+    with _small_tasks(spark), _conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
         _by_day(df.select(*[F.col(f"`{c}`") for c in columns]), parts[0] if parts else None).write.insertInto(name, overwrite=True)
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
 
 
 def latest_partition(spark: SparkSession, name: str, column: str):
@@ -101,7 +123,9 @@ def fresh_rows(
 ) -> DataFrame:
     """Newest version of each key of the source rows dated after ``mark``; with no mark, of all rows."""
     rows = src if mark is None else src.where(F.col(date_col) > F.lit(mark))
-    return dedupe_latest(rows, keys, version, tiebreak).drop(version).distinct()
+    newest = dedupe_latest(rows, keys, version, tiebreak).drop(version)
+    # one row per key is distinct already, unless a key is dropped with the version
+    return newest.distinct() if version.lower() in {k.lower() for k in keys} else newest
 
 
 def first_build(
@@ -146,7 +170,8 @@ def staged_append(
         mark = latest_partition(spark, name, date_col) if exists else None
         mark = floor if mark is None else mark
         spark.createDataFrame([(None if mark is None else str(mark),)], "mark string").write.mode("overwrite").parquet(f"{stage}/{STAGED}")
-    fresh_rows(src, mark, keys, date_col, version, tiebreak).write.mode("overwrite").parquet(f"{stage}/rows")
+    with _small_tasks(spark):
+        fresh_rows(src, mark, keys, date_col, version, tiebreak).write.mode("overwrite").parquet(f"{stage}/rows")
     if not commit:
         return STAGED
     staged = spark.read.parquet(f"{stage}/rows")
