@@ -9,6 +9,7 @@ from ledgerloom.operators import dedupe, pnl, recon, reshape
 from ledgerloom.queries import all_queries
 from ledgerloom.queries.standins import table
 from ledgerloom.session import tune
+from ledgerloom.sources import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -120,3 +121,28 @@ def test_reconciliation_shuffles_lines_once_per_key(no_broadcast):
 def test_warehouse_report_shuffles_each_courier_feed_once_for_the_join(no_broadcast):
     text = plan(all_queries()["warehouse_report"](tune(no_broadcast), SF))
     assert "FullOuter" not in text and len(exchanges(text, "_extra")) == 1
+
+
+@pytest.mark.parametrize("name", ["pnl_daily", "pnl_daily_by_parts", "tracking_report"])
+def test_reports_read_lines_with_orders_from_one_copy(no_broadcast, name):
+    text = plan(all_queries()[name](tune(no_broadcast), SF))
+    assert "Scan parquet" in text and "orders.parquet" not in text
+
+
+def test_new_rows_of_an_append_are_not_grouped_again(spark):
+    """One row per key is distinct: a grouping by all columns only holds a task's rows once more."""
+    rows = spark.createDataFrame([(1, 1, 5, "a"), (1, 1, 6, "b"), (None, 1, 1, "c")], "k int, d int, v int, x string")
+    new = catalog.fresh_rows(rows, None, ["k"], "d", "v", ["x"])
+    assert "Aggregate" not in plan(new)
+    assert sorted(map(tuple, new.collect()), key=str) == [(1, 1, "b"), (None, 1, "c")]
+    both = catalog.fresh_rows(rows.union(rows.withColumn("x", F.lit("b"))), None, ["k", "v"], "d", "v", ["x"])
+    assert both.count() == both.distinct().count()
+
+
+def test_writes_put_settings_back(spark, monkeypatch):
+    keys, seen = ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"], []
+    before = [spark.conf.get(k, None) for k in keys]
+    by_day = catalog._by_day
+    monkeypatch.setattr(catalog, "_by_day", lambda *a: seen.append([spark.conf.get(k, None) for k in keys]) or by_day(*a))
+    catalog.write_table(spark.range(5), "settings_put_back")
+    assert seen == [[f"{32 << 20}b", "200"]] and [spark.conf.get(k, None) for k in keys] == before
