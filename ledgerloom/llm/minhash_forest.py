@@ -23,6 +23,14 @@ Method:
 4. Full shingle sets are computed again, from the texts, for the sets of proposed pairs only, and every
    proposed pair is confirmed on them (``100 * |A & B| >= 85 * |A | B|``); confirmed links,
    and the links of repeated ids, go to connected components.
+5. In a large group of near copies the few neighbours of a set are seldom the few sets it links with:
+   copies with two edits each may all link with the common original only.  So where proposed pairs still
+   lie in two components, the sets of these components alone go through the forest again, in
+   ``MORE_TREES`` new orders of the bins that go on to depth ``DEPTH + TIES``.  Now a set proposes
+   ``MORE_NEIGHBOURS`` neighbours and the nearest hubs on either side, hubs being the sets with the most
+   links in their component (the first, the first four, the first sixteen); only pairs of two components count,
+   and of these the ``BEST`` of each set by its sketch, so a round adds pairs in proportion to the sets.  At most ``ROUNDS`` times, and not
+   again after a round without a new link.
 
 Everything is Spark joins, groupings and windows over tables written to the shared folder; Python only
 hashes the texts of one batch.
@@ -50,6 +58,10 @@ NEIGHBOURS = 2
 REGION_ROWS = 50_000
 THRESHOLD_PCT = 85
 SKETCH_MATCHES = 40
+ROUNDS = 3
+MORE_TREES, TIES, MORE_NEIGHBOURS = 16, 16, 4
+HUBS, HUB_LINKS = (1, 4, 16), 4  # hubs of a component, few and many; links that make a set a hub
+MORE_MATCHES, BEST = 46, 8  # a pair of Jaccard 0.85 falls below with a probability of about 2e-3
 
 _BINS = TREES * DEPTH
 _SHIFT = np.uint64(64 - 6)  # 64 bins from the top six bits
@@ -125,16 +137,23 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.mapInArrow(_signer("id", "text", last), (SHINGLED if sets else SIGNED).format(id="id", kind=kind))
 
 
-def _forest_rows(sets: DataFrame) -> DataFrame:
-    """(t, key, rep, sketch) for every tree: the tree's bins of the signature in its order, and the low
-    byte of every bin."""
-    trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t")
+def _forest_rows(sets: DataFrame, orders: list[list[int]] | None = None) -> DataFrame:
+    """(t, key, rep, sketch) and the other columns of ``sets`` for every tree: the tree's bins of the signature
+    in its order, and the low byte of every bin.
+
+    ``orders`` has the bins of each tree, by default :data:`DEPTH` for each of :data:`TREES`.  Bins after the
+    first :data:`DEPTH` make the column ``tie`` of low bytes.
+    """
+    orders = orders or [[j * TREES + t for j in range(DEPTH)] for t in range(TREES)]
+    trees = F.explode(F.sequence(F.lit(0), F.lit(len(orders) - 1))).alias("t")
     sketch = F.transform("sig", lambda x: ((x.bitwiseAND(F.lit(255))) - 128).cast("tinyint"))
-    rows = sets.select("rep", "sig", sketch.alias("sketch"), trees)
-    key = F.transform(
-        F.sequence(F.lit(0), F.lit(DEPTH - 1)), lambda j: F.shiftright(F.element_at("sig", (j * TREES + F.col("t") + 1).cast("int")), 32).cast("int")
-    )
-    return rows.select("t", key.alias("key"), "rep", "sketch")
+    own = [c for c in sets.columns if c != "sig"]
+    rows = sets.select(*own, "sig", sketch.alias("sketch"), trees)
+    bins = F.element_at(F.lit(orders), F.col("t") + 1)
+    key = F.transform(F.slice(bins, 1, DEPTH), lambda i: F.shiftright(F.element_at("sig", i + 1), 32).cast("int"))
+    tie = F.transform(F.slice(bins, DEPTH + 1, _BINS), lambda i: F.element_at("sketch", i + 1))
+    deeper = [tie.alias("tie")] if len(orders[0]) > DEPTH else []
+    return rows.select("t", key.alias("key"), *deeper, *own, "sketch")
 
 
 def _regions(rows: DataFrame, region_rows: int) -> tuple[DataFrame, bool]:
@@ -172,7 +191,7 @@ def candidates(
 ) -> DataFrame:
     """Pairs (a, b), a < b, of sets that are near in the sorted order of some tree and whose sketches agree."""
     rows, split = _regions(_forest_rows(sets), region_rows)
-    order = Window.partitionBy("region").orderBy("key", "rep")
+    order = Window.partitionBy("region").orderBy("key", "sketch", "rep")
     ahead = [F.struct(F.lead("rep", i).over(order).alias("rep"), F.lead("sketch", i).over(order).alias("sketch")).alias(f"o{i}") for i in range(1, neighbours + 1)]
     near = rows.select("rep", "sketch", *ahead).select("rep", "sketch", F.explode(F.array(*[f"o{i}" for i in range(1, neighbours + 1)])).alias("o"))
     both = near.where(_agree("sketch", "o.sketch") >= sketch_matches).select("rep", F.col("o.rep").alias("other"))
@@ -182,6 +201,52 @@ def candidates(
     return both.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
 
 
+def _more_orders(round_: int) -> list[list[int]]:
+    """Other bins for the trees of a further round, the same in every run."""
+    rng = np.random.default_rng(round_)
+    return [rng.permutation(_BINS)[: DEPTH + TIES].tolist() for _ in range(MORE_TREES)]
+
+
+def more_candidates(sets: DataFrame, round_: int, region_rows: int = REGION_ROWS) -> DataFrame:
+    """Pairs (a, b), a < b, of near sets of two components.
+
+    ``sets`` has ``rep``, ``sig``, ``component`` and ``hub``, the place among the hubs.  A set meets its neighbours
+    in the order of each tree and the nearest hubs on either side, and proposes the best of all it meets.
+    """
+    rows = _regions(_forest_rows(sets, _more_orders(round_)), region_rows)[0]
+    place = ["key", "tie", "rep"]
+    up = Window.partitionBy("region").orderBy(*place)
+    down = Window.partitionBy("region").orderBy(*[F.desc(c) for c in place])
+    own = F.struct("rep", "sketch", "component")
+    hubs = [F.when(F.col("hub") <= n, own) for n in HUBS]
+    met = [F.lead(own, i).over(up) for i in range(-MORE_NEIGHBOURS, MORE_NEIGHBOURS + 1) if i]
+    met += [F.last(h, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)) for w in (up, down) for h in hubs]
+    names = [f"o{i}" for i in range(len(met))]
+    near = rows.select("rep", "sketch", "component", *[m.alias(n) for m, n in zip(met, names)])
+    near = near.select("rep", "sketch", "component", F.explode(F.array(*names)).alias("o")).where("o.component <> component")
+    near = near.select("rep", F.col("o.rep").alias("other"), _agree("sketch", "o.sketch").alias("same"))
+    best = Window.partitionBy("rep").orderBy(F.desc("same"), "other")
+    near = near.where(F.col("same") >= MORE_MATCHES).distinct().withColumn("place", F.row_number().over(best))
+    near = near.where(F.col("place") <= BEST)
+    return near.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+
+
+def _unsettled(reps: DataFrame, tried: DataFrame, links: DataFrame) -> DataFrame:
+    """``rep``, ``sig``, ``component`` and ``hub`` of the sets of components that a proposed pair lies between."""
+    ends = tried.select(F.col("a").alias("rep")).unionByName(tried.select(F.col("b").alias("rep"))).distinct()
+    found = components(links, "a", "b").withColumnRenamed("node", "rep")
+    at = written(ends.join(found, "rep", "left").select("rep", F.coalesce("component", "rep").alias("component")))
+    side = lambda c: at.select(F.col("rep").alias(c), F.col("component").alias(f"c{c}"))
+    across = written(tried.join(side("a"), "a").join(side("b"), "b").where("ca <> cb").select("ca", "cb"))
+    open_ = across.select(F.col("ca").alias("component")).unionByName(across.select(F.col("cb").alias("component"))).distinct()
+    degree = links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("n"))
+    first = Window.partitionBy("component").orderBy(F.desc("n"), "rep")
+    linked = at.join(degree.where(F.col("n") >= HUB_LINKS), "rep").withColumn("hub", F.row_number().over(first))
+    hubs = linked.where(F.col("hub") <= max(HUBS)).select("rep", "hub")
+    chosen = at.join(open_, "component", "left_semi").join(hubs, "rep", "left")
+    return reps.select("rep", "sig").join(chosen, "rep").select("rep", "sig", "component", "hub")
+
+
 def _seams(rows: DataFrame, sketch_matches: int) -> DataFrame:
     """Of regions that split one first value: the last set of a region and the first of the next one."""
     ends = rows.where("deep").groupBy("region").agg(
@@ -233,13 +298,24 @@ def near_duplicates(
     involved = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     full = signatures(in_filter(texts, involved), "id", "text", sets=True).repartition("id").dropDuplicates(["id", "fp1", "fp2"])
-    full = full.select(F.col("id").alias("rep"), "n_shingles", "shingles")
+    full = written(full.select(F.col("id").alias("rep"), "n_shingles", "shingles"))
     links = confirmed(pairs, full, threshold_pct).distinct()
     # an id met with several sets joins them
-    pairs = member.select("id", "rep").distinct()
-    least = pairs.groupBy("id").agg(F.min("rep").alias("m"))
-    repeated = pairs.join(least, "id").where(F.col("rep") != F.col("m")).select(F.col("rep").alias("a"), F.col("m").alias("b"))
-    found = components(written(links.unionByName(repeated)), "a", "b")
+    several = member.select("id", "rep").distinct()
+    least = several.groupBy("id").agg(F.min("rep").alias("m"))
+    repeated = several.join(least, "id").where(F.col("rep") != F.col("m")).select(F.col("rep").alias("a"), F.col("m").alias("b"))
+    links = written(links.unionByName(repeated))
+    tried = pairs
+    for round_ in range(1, ROUNDS + 1):
+        sets = written(_unsettled(reps, pairs, links))
+        if sets.isEmpty():
+            break
+        more = written(more_candidates(sets, round_, region_rows).join(tried, ["a", "b"], "left_anti"))
+        new = written(confirmed(more, full, threshold_pct).distinct())
+        if new.isEmpty():
+            break
+        tried, links = tried.unionByName(more), links.unionByName(new)
+    found = components(links, "a", "b")
     joined = member.join(found, member["rep"] == found["node"], "left").select("id", F.coalesce("component", "rep").alias("c"))
     best = joined.groupBy("id").agg(F.min("c").alias("c"))
     out = signed.select("id", "n_shingles").join(best, "id", "left")

@@ -115,3 +115,20 @@ def test_repeated_id_keeps_the_links_of_each_of_its_texts(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id, r.component_id) for r in mf.near_duplicates(df).collect())
     assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
+def test_copies_that_link_with_their_original_only_are_found(spark):
+    """Copies with two edits of their own: no two of them link, and each meets few of the others in the forest."""
+    prepared(spark)
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(3000)}" for _ in range(140)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1500):
+        text = list(base)
+        for k, at in enumerate(rng.sample(range(5, 135), 2)):
+            text[at] = f"x{i}y{k}"
+        rows.append((i, " ".join(text)))
+    got = run(spark, rows)
+    linked = {i for i, t in rows if 100 * len(shingles(t) & shingles(rows[0][1])) >= 85 * len(shingles(t) | shingles(rows[0][1]))}
+    assert len(linked) > 1400
+    assert sum(got[i].component_id == 0 for i in linked) >= 0.99 * len(linked)
