@@ -156,3 +156,23 @@ def test_months_are_spread_after_the_fact_is_grouped(spark):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == want.columns
         below = got._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")[1]
         assert groupings in (None, below.count("Aggregate ["))
+
+
+def test_fact_rows_meet_the_shuffle_without_their_texts(spark):
+    """Labels and product columns are looked up after the sums; a product without a name is one without a mapping row."""
+    cols = "map_key string, map_channel string, parent_sku string, master_sku string, product_title string, master_title string, " \
+           "mrp_og double, mrp_rev double, main_category string, sub_category string"
+    rows = [("1", None, "P1", "m", "t", None, 10.0, 8.0, "SkinCare", "s"), ("2", None, "P1", "n", "t", None, 10.0, 8.0, "Skin Care", "s"),
+            ("3", None, None, "m", None, None, 10.0, 8.0, None, None), ("3", None, "P3", "m", None, None, 10.0, 8.0, "c", None)]
+    mapping = spark.createDataFrame(rows, cols)
+    feed = [(date(2024, 1, 1), k, 5.0, 2.0, 1.0) for k in ("1", "2", "3", "4", None)]
+    feed = spark.createDataFrame(feed, "order_date date, product_id string, gmv double, gross_sales double, units_sold double")
+    one = dict(default_category="none", category_fix=("skincare", "Skin Care"))
+    specs = [sales.ChannelSpec("F", "K", "A", "E", "f", **one), sales.ChannelSpec("F", "K", "A", "E", "f"), sales.ChannelSpec("S", "K", "B", "E", "f")]
+    got = sales.sales_union({"f": feed}, {"master": mapping}, specs, date(2025, 1, 1))
+    want = sales.sales_fact(sales.union_channels([sales.channel_rows(feed, s, mapping) for s in specs]), date(2025, 1, 1))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.schema.simpleString() == want.schema.simpleString()
+    text = got._jdf.queryExecution().executedPlan().toString()
+    keys = [x for line in text.splitlines() if "Exchange hashpartitioning" in line for x in [line] if "_dealt#" in x]
+    assert keys and not any("product_title#" in x or "brand#" in x for x in keys)
+    assert "hashpartitioning(brand" not in text
