@@ -146,3 +146,10 @@ def test_writes_put_settings_back(spark, monkeypatch):
     monkeypatch.setattr(catalog, "_by_day", lambda *a: seen.append([spark.conf.get(k, None) for k in keys]) or by_day(*a))
     catalog.write_table(spark.range(5), "settings_put_back")
     assert seen == [[f"{32 << 20}b", "200"]] and [spark.conf.get(k, None) for k in keys] == before
+
+
+def test_warehouse_report_deals_each_feed_out_once_before_its_join(no_broadcast):
+    text = plan(all_queries()["warehouse_report"](tune(no_broadcast), SF))
+    assert "orders.parquet" not in text
+    assert len(exchanges(text, "_padded")) == 2 and not exchanges(text, "order_id")
+    assert len(exchanges(text, "order_number_raw")) == 0
