@@ -153,3 +153,9 @@ def test_warehouse_report_deals_each_feed_out_once_before_its_join(no_broadcast)
     assert "orders.parquet" not in text
     assert len(exchanges(text, "_padded")) == 2 and not exchanges(text, "order_id")
     assert len(exchanges(text, "order_number_raw")) == 0
+
+
+@pytest.mark.parametrize("name", ["recon_lines", "reconciliation"])
+def test_reconciliation_reads_lines_with_orders_from_one_copy(no_broadcast, name):
+    text = plan(all_queries()[name](tune(no_broadcast), SF))
+    assert "Scan parquet" in text and "orders.parquet" not in text and "lineitem.parquet" not in text
